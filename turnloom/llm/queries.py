@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, packing, token_files
+from . import exact, html_text, packing, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,16 +16,30 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+# The rules of the query.
+URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    model = url_filter.train_url_model(url_filter.label_by_host_words(pages))
+    return url_filter.filter_urls(pages, URL_RULES, model)
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.write_token_files(_table(spark, sf_dir, "documents"))
     return token_files.read_token_index(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op5_best_fit_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_html_extraction, op5_best_fit_packing, op7_url_filter, op10_token_files)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
