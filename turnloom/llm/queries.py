@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, html_text, packing, token_files, url_filter
+from . import exact, html_text, license_scan, packing, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,12 +34,26 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES, model)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    starts = F.transform(base, lambda s: s["start"])
+
+    def joined(spans):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"), joined(F.col("spans")).alias("labels"), F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.write_token_files(_table(spark, sf_dir, "documents"))
     return token_files.read_token_index(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_html_extraction, op5_best_fit_packing, op7_url_filter, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_html_extraction, op5_best_fit_packing, op7_url_filter, op9_license_scan, op10_token_files)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
