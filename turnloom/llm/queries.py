@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, html_text, license_scan, packing, token_files, url_filter
+from . import exact, html_text, language_id, license_scan, packing, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = language_id.train_language_model(language_id.training_rows(docs, held_out))
+    found = language_id.identify_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 # The rules of the query.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 
@@ -53,7 +61,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_index(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_html_extraction, op5_best_fit_packing, op7_url_filter, op9_license_scan, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_html_extraction, op5_best_fit_packing, op6_language_id, op7_url_filter, op9_license_scan, op10_token_files)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
