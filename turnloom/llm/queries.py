@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, html_text, language_id, license_scan, packing, token_files, url_filter
+from . import exact, html_text, language_id, license_scan, packing, quality, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 5
+    learn = F.crc32(F.col("id").cast("string")) % 5 != 0
+    model = quality.train_quality_model(docs, _table(spark, sf_dir, "labels"), learn)
+    score = F.col("quality_score")
+    found = quality.score_quality(docs, model)
+    return found.select("doc_id", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), score.alias("score"), F.when(score >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(_table(spark, sf_dir, "pages"))
 
@@ -61,7 +71,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_index(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op4_html_extraction, op5_best_fit_packing, op6_language_id, op7_url_filter, op9_license_scan, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_classifier, op4_html_extraction, op5_best_fit_packing, op6_language_id, op7_url_filter, op9_license_scan, op10_token_files)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
