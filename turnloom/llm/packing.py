@@ -33,9 +33,9 @@ def token_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder.of_worker(tokenizer)
         tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        for batch, text in slices(batches, "text", 16 << 20):
+        for batch, text in slices(batches, "text", 8 << 20):
             ids, ends = encoder.encode(text)
             raw, step = memoryview(ids.astype("<u4").tobytes()), 4 * max_tokens
             out: tuple[list, ...] = ([], [], [], [], [])

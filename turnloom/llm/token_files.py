@@ -53,9 +53,9 @@ def write_token_files(df: DataFrame, folder: str | None = None, *, id_col: str =
         shard = TaskContext.get().partitionId()
         names = _files(folder, shard)
         temp = {k: f"{v}.{uuid.uuid4().hex}" for k, v in names.items()}
-        encoder, docs, total = Encoder(tokenizer), 0, 0
+        encoder, docs, total = Encoder.of_worker(tokenizer), 0, 0
         out = None
-        for batch, text in slices(batches, "text", 16 << 20):
+        for batch, text in slices(batches, "text", 8 << 20):
             if out is None:
                 out = {k: open(v, "wb") for k, v in temp.items()}
                 out["offsets"].write(np.zeros(1, "<i8").tobytes())

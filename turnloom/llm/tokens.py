@@ -10,7 +10,9 @@ whole.
 from __future__ import annotations
 
 import os
+import sys
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +21,7 @@ import pyarrow.compute as pc
 from .common import ragged
 
 #: Distinct pieces that a worker remembers; the memory of the cache is bounded by it.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 600_000
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -39,10 +41,23 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path or default_path())
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.by_piece, self.cache_pieces = by_piece, cache_pieces
-        self.cache: dict[str, list[int]] = {}
-
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.place: dict[str, int] = {}  # of a piece in sizes and starts
+        self.sizes, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    @classmethod
+    def of_worker(cls, path: str | None = None) -> Encoder:
+        """The encoder that this Python process keeps from task to task, with its cache."""
+        kept = sys.modules.setdefault("_turnloom_worker", ModuleType("_turnloom_worker")).__dict__
+        if ("encoder", path) not in kept:
+            kept["encoder", path] = cls(path)
+        return kept["encoder", path]
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and the number of ids of each text."""
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
     def _pieces(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         plain = pc.replace_substring_regex(pc.ascii_lower(text), "[\n\t\r]", " ")
@@ -51,20 +66,25 @@ class Encoder:
         of_doc = words.offsets.to_numpy().astype(np.int64)
         coded = words.values.slice(of_doc[0], of_doc[-1] - of_doc[0]).dictionary_encode()
         known = coded.dictionary.to_pylist()
-        cache = self.cache
-        missing = [w for w in known if w not in cache]
-        if len(cache) + len(missing) > self.cache_pieces:
-            cache.clear()
-            missing = known
-        cache.update(zip(missing, self._whole(missing), strict=True))
-        ids = [cache[w] for w in known]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        codes = coded.indices.to_numpy()
-        counts = sizes[codes]
-        out = flat[ragged((np.cumsum(sizes) - sizes)[codes], counts)]
-        ends = np.concatenate([[0], np.cumsum(counts)])[of_doc - of_doc[0]]
-        return out, ends
+        found = self.place.get
+        at = np.fromiter((found(w, -1) for w in known), np.int64, len(known))
+        missing = np.flatnonzero(at < 0)
+        flat, sizes, starts = self.flat, self.sizes, self.starts
+        if len(missing):
+            new = [known[i] for i in missing]
+            ids, counts = self._whole(new)
+            at[missing] = len(sizes) + np.arange(len(new))
+            starts = np.concatenate([starts, len(flat) + np.cumsum(counts) - counts])
+            sizes, flat = np.concatenate([sizes, counts]), np.concatenate([flat, ids])
+            n = min(self.cache_pieces, len(sizes))
+            if n > len(self.sizes):  # pieces beyond the bound are encoded anew each time
+                self.place.update(zip(new[: n - len(self.sizes)], range(len(self.sizes), n), strict=True))
+                self.sizes, self.starts = sizes[:n].copy(), starts[:n].copy()
+                self.flat = flat[: starts[n - 1] + sizes[n - 1]].copy()
+        at = at[coded.indices.to_numpy()]
+        counts = sizes[at]
+        out = flat[ragged(starts[at], counts)]
+        return out, np.concatenate([[0], np.cumsum(counts)])[of_doc - of_doc[0]]
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and the int64 offsets of each text in them."""
@@ -74,9 +94,8 @@ class Encoder:
         if not special.any():
             return self._pieces(text)
         if special.all():
-            ids = self._whole(text.to_pylist())
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), np.concatenate([[0], np.cumsum(sizes)])
+            ids, sizes = self._whole(text.to_pylist())
+            return ids, np.concatenate([[0], np.cumsum(sizes)])
         parts = [self.encode(text.slice(i, 1) if special[i] else text.slice(i, j - i)) for i, j in _runs(special)]
         bases = np.cumsum([0] + [p[1][-1] for p in parts])
         return np.concatenate([p[0] for p in parts]), np.concatenate([[0]] + [p[1][1:] + b for p, b in zip(parts, bases, strict=False)])
