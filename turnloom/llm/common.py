@@ -113,3 +113,53 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of values[offsets[i]:offsets[i+1]]; empty runs give 0."""
     total = np.concatenate([[0], np.cumsum(values)])
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+_TURN = np.uint64(0x9E3779B97F4A7C15)
+_TURN_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_BYTE_CODE = np.random.default_rng(3).integers(1, 1 << 63, 256, dtype=np.uint64)
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    if n:
+        out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class Words:
+    """The words of some texts: maximal runs of bytes that ``is_word`` (a table of 256) allows.
+
+    ``first`` and ``last`` are byte bounds of each word, ``offsets`` the bounds of each text in
+    the words, ``hashes`` 64-bit polynomial hashes of the words' bytes, after ``fold`` (a table
+    of 256) has been applied to each. Bytes from 0x80 are parts of other characters and always
+    belong to words.
+    """
+
+    def __init__(self, text: pa.Array, is_word: np.ndarray, fold: np.ndarray):
+        raw, ends = buffers(text)
+        inside = np.zeros(len(raw) + 1, np.int8)
+        inside[:-1] = is_word[raw]
+        starts, stops = inside.copy(), np.zeros(len(raw) + 1, np.int8)
+        starts[1:] &= ~inside[:-1] & 1
+        stops[1:] = inside[:-1] & ~inside[1:] & 1
+        inner = ends[1:-1]
+        if len(inner):  # a word ends with its text
+            cut = inner[(inner > 0) & (inner < len(raw))]
+            both = cut[(inside[cut - 1] & inside[cut]).astype(bool)]
+            starts[both] = 1
+            stops[both] = 1
+        self.raw = raw
+        self.first, self.last = np.flatnonzero(starts), np.flatnonzero(stops)
+        self.offsets = np.searchsorted(self.first, ends)
+        # prefix sums of byte codes times powers; a word's share is turned back to its start
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(_BYTE_CODE[fold[raw]] * _powers(_TURN, len(raw)), dtype=np.uint64, out=total[1:])
+        self.hashes = (total[self.last] - total[self.first]) * _powers(_TURN_BACK, len(raw) + 1)[self.first]
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+
+ASCII_FOLD = np.arange(256, dtype=np.uint8)
+ASCII_FOLD[ord("A") : ord("Z") + 1] += 32

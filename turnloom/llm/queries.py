@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, html_text, language_id, license_scan, packing, quality, token_files, url_filter
+from . import decontaminate, exact, html_text, language_id, license_scan, packing, quality, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), score.alias("score"), F.when(score >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(_table(spark, sf_dir, "pages"))
 
@@ -71,7 +76,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_index(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_classifier, op4_html_extraction, op5_best_fit_packing, op6_language_id, op7_url_filter, op9_license_scan, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_classifier, op3_decontamination, op4_html_extraction, op5_best_fit_packing, op6_language_id, op7_url_filter, op9_license_scan, op10_token_files)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
