@@ -59,7 +59,8 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = materialize(repeated_bits(rows.select("h"), bits), "exact-filter")
     flagged = flag_repeated(rows, "h", found, bits)
     maybe = materialize(flagged.where("repeated").select("id", "sha", "row"), "exact-maybe")
-    groups = maybe.groupBy("sha").agg(F.max(F.struct("id", "row")).alias("keep"), F.count("*").alias("size"))
+    # a written table, so that both sides of the join are plain exchanges and a hot one is split
+    groups = materialize(maybe.groupBy("sha").agg(F.max(F.struct("id", "row")).alias("keep"), F.count("*").alias("size")), "exact-groups")
     shared = maybe.join(groups, "sha").select(F.col("id").alias(id_col), F.col("keep.id").alias("keep_id"), F.col("size").alias("group_size"), (F.col("row") == F.col("keep.row")).alias("kept"), F.col("sha").alias("text_sha256"))
     alone = flagged.where("NOT repeated").select(F.col("id").alias(id_col), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
     return alone.unionByName(shared)
