@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, html_text, language_id, license_scan, packing, quality, token_files, url_filter
+from . import decontaminate, exact, html_text, language_id, license_scan, near_dup, packing, quality, token_files, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, URL_RULES, model)
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
@@ -76,7 +80,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_index(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_classifier, op3_decontamination, op4_html_extraction, op5_best_fit_packing, op6_language_id, op7_url_filter, op9_license_scan, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_classifier, op3_decontamination, op4_html_extraction, op5_best_fit_packing, op6_language_id, op7_url_filter, op8_minhash_near_dedup, op9_license_scan, op10_token_files)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
