@@ -70,3 +70,10 @@ def test_training_sample_is_bounded(spark):
     never = df.doc_id < 0
     assert language_id.training_rows(df, never, max_docs=5000).count() == 4000
     assert language_id.training_rows(df, never, max_docs=1000).count() == pytest.approx(1000, rel=0.2)
+
+
+def test_unidentified_texts_go(spark):
+    df = spark.createDataFrame([(1, "the cat sat on the mat and the dog sat"), (2, "zqx"), (3, "日本語漢字" * 60), (4, "..."), (5, None)], "doc_id long, text string")
+    model = language_id.train_language_model(df.where("doc_id = 1").selectExpr("text", "'en' AS lang"))
+    left = language_id.drop_unidentified(df, model)
+    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [1, 2]

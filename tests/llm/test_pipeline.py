@@ -1,0 +1,66 @@
+import importlib.util
+from pathlib import Path
+
+import corpus_pipeline
+
+
+def other(name):
+    spec = importlib.util.spec_from_file_location(name, Path(__file__).with_name(f"{name}.py"))
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    return module
+
+
+def test_each_stage_on_the_table(spark, tmp_path):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    extra = spark.createDataFrame([(10_000_001, None), (10_000_002, "..."), (10_000_003, "123 456")], "doc_id long, text string")
+    docs = docs.unionByName(extra, allowMissingColumns=True)
+    docs.write.parquet(f"{tmp_path}/start")
+    docs = spark.read.parquet(f"{tmp_path}/start")
+    kept = [{r.doc_id: r.text for r in docs.collect()}]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        rows = docs.collect()
+        kept.append({r.doc_id: r.text for r in rows})
+        assert len(rows) == len(kept[-1])
+    start, spoken, distinct, single, clean = kept
+    assert set(start) - set(spoken) == {10_000_001, 10_000_002, 10_000_003}
+    last = {}
+    for key in sorted(spoken):
+        last[spoken[key]] = key
+    assert set(distinct) == set(last.values())
+    near = other("test_near_dup").expected(list(distinct.items()))
+    assert set(single) == {key for key, _, _, keep in near if keep}
+    leaks = other("test_decontaminate")
+    bench = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    found = leaks.windows(bench, 10)
+    assert set(clean) == {key for key, text in single.items() if not leaks.expected(text, found, 10)[1]}
+    assert set(clean) < set(single) < set(distinct) < set(spoken)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+    assert {r.doc_id for r in packed} == set(clean)
+    tokens = other("test_tokens")
+    assert tokens.check_packing(packed, 2048) <= -(-sum(r.length for r in packed) // 2048) + 1
+
+
+def test_empty_table(spark, tmp_path):
+    sf_dir = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf_dir}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_dropping_operators_keep_odd_rows(spark):
+    from turnloom.llm import decontaminate, near_dup
+
+    item = "one two three four five six seven eight nine ten eleven"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {item}", "a"), (None, f"y {item}", "b"), (2, None, "c"), (None, "z", "d"), (2, None, "c")], "doc_id long, text string, n_hit string")
+    left = decontaminate.drop_contaminated(docs, bench)
+    assert left.columns == docs.columns and sorted(r.n_hit for r in left.collect()) == ["c", "c", "d"]
+    assert decontaminate.drop_contaminated(docs.limit(0), bench).count() == 0
+    left = near_dup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns and left.count() == 5

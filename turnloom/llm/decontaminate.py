@@ -18,6 +18,8 @@ SHARD_SYMBOLS = 1 << 19
 SHARD_DOCS = 100_000
 #: Every so many text positions the index keeps the position of a suffix.
 SAMPLE = 8
+#: Bytes of text that a shard of ``drop_contaminated`` holds with its rows.
+HELD_BYTES = 32 << 20
 #: Occurrences located at once.
 LOCATE_BLOCK = 1 << 18
 #: Words that all benchmark items may have: they travel to every task.
@@ -177,7 +179,12 @@ class _Shard:
         self.n_words.append(np.diff(found.offsets))
         self.docs += len(text)
 
-    def results(self, schema: pa.Schema) -> pa.RecordBatch:
+    def contaminated(self) -> np.ndarray:
+        """Whether each document has an occurrence."""
+        return self.results(None).column(2).to_numpy() > 0
+
+    def results(self, schema: pa.Schema | None) -> pa.RecordBatch:
+        """Rows (id, n_words, n_hit, items, spans) of all documents, in order."""
         p = self.phrases
         spans_of = spans = items_of = items = np.zeros(0, np.int64)
         ends = spans
@@ -220,7 +227,12 @@ class _Shard:
         return pa.RecordBatch.from_arrays([
             pa.concat_arrays(self.ids), pa.array(np.concatenate(self.n_words).astype(np.int64)), pa.array(n_hit),
             pa.ListArray.from_arrays(pa.array(item_offsets), names), pa.ListArray.from_arrays(pa.array(span_offsets), pieces),
-        ], schema=schema)
+        ], schema=schema, names=None if schema else ["id", "n_words", "n_hit", "items", "spans"])
+
+
+def collect_phrases(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> Phrases:
+    """The benchmark's windows on the driver; ``Phrases`` refuses more than its bound."""
+    return Phrases([tuple(r) for r in benchmark.select(F.col(item_col).cast("string"), F.col(item_text_col).cast("string")).collect()], window)
 
 
 def find_contamination(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -235,7 +247,7 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, *, id_col: str = "do
     words have no windows. The benchmark is collected, up to ``MAX_BENCHMARK_WORDS`` words; more
     is refused rather than cut. ``items`` are sorted as strings; a null item id is named "".
     """
-    phrases = Phrases([tuple(r) for r in benchmark.select(F.col(item_col).cast("string"), F.col(item_text_col).cast("string")).collect()], window)
+    phrases = collect_phrases(benchmark, item_col, item_text_col, window)
     narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
 
@@ -252,3 +264,32 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, *, id_col: str = "do
 
     return narrow.mapInArrow(scan, f"`{id_col}` {kind}, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>")
 
+
+
+def drop_contaminated(df: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
+    """The rows of ``df`` whose texts hold no window of any benchmark item, all columns kept.
+
+    The same search as in ``find_contamination``; rows are held with their shard until it is
+    indexed, so shards are bounded by bytes too, and nothing is joined or shuffled.
+    """
+    phrases = collect_phrases(benchmark, item_col, item_text_col, window)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held, size = _Shard(phrases), [], 0
+
+        def clean() -> Iterator[pa.RecordBatch]:
+            keep = ~shard.contaminated()
+            for batch, first in zip(held, np.cumsum([0] + [b.num_rows for b in held]), strict=False):
+                yield batch.filter(pa.array(keep[first : first + batch.num_rows]))
+
+        for batch, text in slices(batches, text_col, 2 << 20):
+            shard.add(pa.nulls(batch.num_rows), text)
+            held.append(batch)
+            size += text.nbytes
+            if size >= HELD_BYTES or shard.size >= SHARD_SYMBOLS:
+                yield from clean()
+                shard, held, size = _Shard(phrases), [], 0
+        if held:
+            yield from clean()
+
+    return df.mapInArrow(scan, df.schema)

@@ -19,6 +19,9 @@ LETTERS = 46
 #: Labelled documents that training reads, about: those whose hash falls below a bound.
 MAX_TRAINING_DOCS = 20_000
 UNDETERMINED = "und"
+#: Cosine below which a text of some length is like no language; shorter ones are not judged by it.
+LEAST_SCORE = 0.1
+LEAST_CHARS = 200
 
 
 def _letter_table() -> np.ndarray:
@@ -187,3 +190,14 @@ def identify_language(df: DataFrame, model: HyperModel, *, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([languages[k] for k in best], pa.string()), pa.array(score.astype(np.float64))], names=[*names, "lang_pred", "lang_score"])
 
     return df.mapInArrow(predict, schema)
+
+
+def drop_unidentified(df: DataFrame, model: HyperModel, *, text_col: str = "text", least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``df`` whose text is in some language of the model, all columns kept.
+
+    Rejected are texts without a letter, and those of ``LEAST_CHARS`` or more whose cosine with
+    every language is below ``least``; a few words say too little to be rejected by it.
+    """
+    found = identify_language(df, model, text_col=text_col)
+    like = (F.col("lang_score") >= least) | (F.length(text_col) < LEAST_CHARS)
+    return found.where((F.col("lang_pred") != UNDETERMINED) & like).select(*[F.col(f"`{c}`") for c in df.columns])

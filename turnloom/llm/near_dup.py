@@ -216,6 +216,18 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     return both.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"))
 
 
+def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
+    """``df`` with one row of each component, the one of the smallest id, all columns kept.
+
+    Only the ids to drop are joined, broadcast up to ``BROADCAST_IDS`` of them, else by shuffle.
+    Rows with a null id cannot be named and stay; so do all rows that share a kept id.
+    """
+    found = near_duplicates(df, id_col=id_col, text_col=text_col, shingle=shingle, similarity=similarity)
+    gone = materialize(found.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_gone")).distinct(), "near-gone")
+    few = gone.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col("_gone"), "left_anti")
+
+
 def _stars(able: DataFrame, similarity: int) -> DataFrame:
     """Pairs (a, b) of the smallest class of a table bucket and each other class in it."""
     first_half, second_half = F.filter("keys", lambda k: k["place"] < HALF), F.filter("keys", lambda k: k["place"] >= HALF)
