@@ -19,7 +19,7 @@ def filter_chunks(lines: DataFrame, chunk_ids: list[int | None]) -> DataFrame:
         found = lines.join(wanted, "chunk_id", "left_semi")
         return found.unionByName(lines.where("chunk_id IS NULL")) if None in chunk_ids else found
     test = F.col("chunk_id").isin(*named) if named else F.lit(False)
-    return lines.where(F.coalesce(test, F.lit(None in chunk_ids)))
+    return lines.where(test | F.col("chunk_id").isNull() if None in chunk_ids else test)
 
 
 def legacy_lines(lines: DataFrame) -> DataFrame:
