@@ -1,0 +1,85 @@
+import pytest
+from pyspark.sql import functions as F
+
+from turnloom.functions import replies, text
+
+
+def column(spark, values, f, kind="string"):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, x {kind}")
+    return [r.y for r in df.select("i", f(F.col("x")).alias("y")).orderBy("i").collect()]
+
+
+ODD = ["　a　", "\x85b\x85", " c ", "\td\r\n", "​e​", "﻿f", "", "  ", "a b", "\x1cg\x1f", None, "x\n\n"]
+
+
+def test_strip_is_pythons(spark):
+    assert column(spark, ODD, text.strip) == [v if v is None else v.strip() for v in ODD]
+    assert column(spark, ODD, text.rstrip) == [v if v is None else v.rstrip() for v in ODD]
+
+
+def test_lines_and_sentences(spark):
+    docs = spark.createDataFrame([(1, " a\n\n\tb\r\nc "), (2, None), (3, " \n ")], "doc_id int, text string")
+    assert [tuple(r) for r in text.clean_lines(docs).orderBy("line_no").collect()] == [(1, 0, "a"), (1, 1, "b"), (1, 2, "c")]
+    assert column(spark, ["甲。乙？！丙", "", "。", "x"], text.sentences) == [["甲。", "乙？", "！", "丙"], [], ["。"], ["x"]]
+
+
+def test_stops(spark):
+    values = ["hello\n用户 x user: y", "user: y", " no stop ", "a<|im_end|>b\nuser", None]
+    assert column(spark, values, text.stop_truncate) == ["hello", "", "no stop", "a", None]
+    values = ["fine，。\nuser ok", "用户：", "a b ", "行者x", "x\n\n\ny", "superuser", "say: <|im_start|>", " Assistant", "a.*b"]
+    assert column(spark, values, lambda c: text.stop_truncate_patterns(c, "行者")) == ["fine", "", "a b", "", "x", "superuser", "say", "", "a.*b"]
+    assert column(spark, ["a.*b", "aXXb"], lambda c: text.stop_truncate_patterns(c, ".*")) == ["a", "aXXb"]
+
+
+def test_context(spark):
+    values = ["plain ", "a\n甲：one\n甲：two", "甲：x", "P here\n\nbody\n\nmore\n甲：x", "P only\n甲：x", "P none"]
+    got = column(spark, values, lambda c: text.clean_context(c, "甲", "P "))
+    assert got == ["plain ", "a\n甲：one", "", "body\n\nmore", "P only", "P none"]
+
+
+def test_prompts(spark):
+    df = spark.createDataFrame([([("u1", "a1"), ("", "a2"), ("u3", None)], "m"), (None, "n")], "h array<struct<user:string,assistant:string>>, m string")
+    got = [r[0] for r in df.select(text.history_prompt(F.lit("S"), F.col("h"), F.col("m"), "R")).collect()]
+    assert got == ["S\n\n用户：u1\nR：a1\nR：a2\n用户：u3\n用户：m\nR：", "S\n\n用户：n\nR："]
+    got = [[tuple(x) for x in r[0]] for r in df.select(text.chat_messages(F.lit("S"), F.col("h"), F.col("m"))).collect()]
+    assert got[1] == [("system", "S"), ("user", "n")] and got[0][-1] == ("user", "m") and len(got[0]) == 8
+    assert text.role_system_prompt("R", "", "m") == "你正在扮演《》中的R。m" and text.role_system_prompt("R", "", "m", False) == "你正在扮演R。m"
+
+
+def test_small_scalars(spark):
+    assert column(spark, ["a/checkpoint-12", "checkpoint-x", "checkpoint-3/", None], text.checkpoint_number) == [12, -1, -1, -1]
+    assert column(spark, ["q/Qwen3.5-9B", "qwen3___6", "QWEN3-8B", "llama"], text.template_for_model) == ["qwen3_5", "qwen3_6", "qwen3", "qwen"]
+    assert column(spark, ["a.b.c"], text.model_folder) == ["a___b___c"]
+    assert text.replace_yaml_value("a: 1\n b: 2\na: 3", "a", 0.5) == "a: 0.5\n b: 2\na: 0.5\n"
+    assert text.replace_yaml_value("x: 1\n", "lr", 1) == "x: 1\nlr: 1\n"
+
+
+def test_payload(spark):
+    values = ['```json\n[1]\n```', "```\n{}\n``` and ```[2]```", 'so [1, 2] it is', 'x {"a": 1} y', '{"script": [1]}', '{"d": "a [b] c"}', "nothing", "", None, "] [", "```JSON[]```"]
+    assert column(spark, values, replies.json_payload) == ["[1]", "{}", "[1, 2]", '{"a": 1}', "[1]", "[b]", "nothing", "", None, "] [", "[]"]
+
+
+def test_parse(spark):
+    ok = '{"role": " R ", "dialogue": "d"}'
+    values = [
+        f"[{ok}, {ok}]", f'```{{"script": [{ok}]}}```', f"```{ok}```", f'[1, "x", {ok}, {{"role": "R"}}, null]', '[{"role": null, "dialogue": "d"}]',
+        '[{"role": "R", "dialogue": "  "}]', '[{"role": "R", "dialogue": "cut', "", None, '{"other": 1}', '[{"role": 5, "dialogue": true}]', f'{{"script": {ok}}}',
+    ]
+    df = spark.createDataFrame(list(enumerate(values)), "chunk_id int, response string")
+    got = {}
+    for r in replies.parse_replies(df).orderBy("chunk_id", "dialogue_index").collect():
+        assert r.dialogue_index == len(got.setdefault(r.chunk_id, []))
+        got[r.chunk_id].append((r.role, r.dialogue))
+    assert got == {0: [("R", "d")] * 2, 1: [("R", "d")], 2: [("R", "d")], 3: [("R", "d")], 10: [("5", "true")]}
+
+
+@pytest.mark.parametrize("reply, want", [
+    ('x [{"id": 1, "user": "u", "role": "r"}, {"id": "2", "user": "u2", "role": "r2"}] y', {1: ("u", "r"), 2: ("u2", "r2")}),
+    ('[{"id": 1, "user": "a", "role": "b"}, {"id": 1, "user": "c", "role": "d"}]', {1: ("c", "d")}),
+    ('[{"id": 1, "user": "", "role": "b"}, {"id": "x", "user": "c", "role": "d"}, 7, {"user": "e", "role": "f"}]', {}),
+    ("no list", {}),
+])
+def test_rewrites(spark, reply, want):
+    df = spark.createDataFrame([(reply,)], "x string")
+    got = df.select(replies.rewrite_entries(F.col("x"), ("user", "role")).alias("m")).first().m or {}
+    assert {k: tuple(v) for k, v in got.items()} == want
