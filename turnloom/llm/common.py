@@ -2,36 +2,19 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialize, scratch_path, shared_dir  # noqa: F401
+
 #: Raw text handled at once inside a Python worker, in bytes.
 SLICE_BYTES = 4 << 20
 
-_scratch: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session names none (local tests) a fresh temporary folder is used.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = getattr(shared_dir, "own", None)
-        if found is None:
-            found = shared_dir.own = "file://" + tempfile.mkdtemp(prefix="turnloom-")
-    return found.rstrip("/")
-
 
 def posix_path(url: str) -> str:
     """The path of a shared folder that is mounted on every machine; other stores are refused."""
@@ -41,33 +24,6 @@ def posix_path(url: str) -> str:
     return parsed.path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    if not _scratch:
-        atexit.register(release_scratch)
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _scratch.append((spark, path))
-    return path
-
-
-def release_scratch() -> None:
-    """Delete the intermediate tables of this session; call it once their results are stored."""
-    while _scratch:
-        spark, path = _scratch.pop()
-        try:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # the session has ended
-            return
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(column):
     """Lower-case A-Z only."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

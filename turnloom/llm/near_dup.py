@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_FOLD, Words, materialize, slices
+from .common import ASCII_FOLD, materialize, slices, Words
 
 #: Words of a shingle.
 SHINGLE = 5
@@ -109,7 +109,7 @@ def _colliding(classes: DataFrame) -> DataFrame:
     so this asks for 2 * HALF keys of each document instead of HALF * HALF.
     """
     each = classes.select("rep", "n", F.posexplode("keys").alias("place", "key"))
-    shared = materialize(each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "near-keys")
+    shared = materialize(each.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "near-keys", small=True)
     found = each.join(shared, "key", "left_semi").groupBy("rep", "n").agg(F.collect_list(F.struct("place", "key")).alias("keys"))
     both = F.exists("keys", lambda k: k["place"] < HALF) & F.exists("keys", lambda k: k["place"] >= HALF)
     return found.where(both)
@@ -160,7 +160,7 @@ def components(edges: DataFrame) -> DataFrame:
     then its smaller neighbours, until the edges are stars. Each round is written to the shared
     folder; the number of rounds grows with the logarithm of a component's size.
     """
-    edges = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "star")
+    edges = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "star", small=True)
     before = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
@@ -173,7 +173,7 @@ def components(edges: DataFrame) -> DataFrame:
         lowest = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(lowest, "hi")
         small = small.select("hi", F.col("m").alias("lo")).unionByName(small.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))).distinct()
-        edges = materialize(small, "star")
+        edges = materialize(small, "star", small=True)
 
 
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: int = SIMILARITY) -> DataFrame:
@@ -194,22 +194,22 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     """
     rows = materialize(sketch_documents(df, id_col, text_col, shingle), "near-sketches")
     named = rows.where("n > 0 AND id IS NOT NULL")
-    classes = materialize(named.groupBy("w1", "w2", "n").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")), "near-classes")
-    colliding = materialize(_colliding(classes), "near-colliding")
+    classes = materialize(named.groupBy("w1", "w2", "n").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")), "near-classes", small=True)
+    colliding = materialize(_colliding(classes), "near-colliding", small=True)
     sets = materialize(_shingles_of(df, colliding.select("rep"), id_col, text_col, shingle), "near-sets")
     able = colliding.join(_alone(sets), "rep", "left").withColumn("u", F.coalesce("u", F.lit(0)))
-    able = materialize(able.where(100 * (F.col("n") - F.col("u")) >= similarity * F.col("n")), "near-able")
+    able = materialize(able.where(100 * (F.col("n") - F.col("u")) >= similarity * F.col("n")), "near-able", small=True)
 
-    links = materialize(_verified(_stars(able, similarity), sets, similarity), "near-links")
+    links = materialize(_verified(_stars(able, similarity), sets, similarity), "near-links", small=True)
     found = components(links)
     more = _verified(_remaining(able, found, similarity), sets, similarity)
-    more = materialize(more, "near-more")
+    more = materialize(more, "near-more", small=True)
     if more.limit(1).count():
         found = components(links.unionByName(more))
     roots = found.withColumnRenamed("node", "rep")
 
     members = classes.join(roots, "rep", "left").select("w1", "w2", "n", F.coalesce("root", "rep").alias("component"))
-    members = materialize(members, "near-members")
+    members = materialize(members, "near-members", small=True)
     out = rows.select("id", "n", "w1", "w2").where("n > 0").join(members, ["w1", "w2", "n"], "left").select("id", "n", "component")
     empty = rows.where("n = 0").select("id", "n", F.col("id").alias("component"))
     both = out.unionByName(empty)
@@ -223,7 +223,7 @@ def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str
     Rows with a null id cannot be named and stay; so do all rows that share a kept id.
     """
     found = near_duplicates(df, id_col=id_col, text_col=text_col, shingle=shingle, similarity=similarity)
-    gone = materialize(found.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_gone")).distinct(), "near-gone")
+    gone = materialize(found.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_gone")).distinct(), "near-gone", small=True)
     few = gone.count() <= BROADCAST_IDS
     return df.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col("_gone"), "left_anti")
 
@@ -234,7 +234,7 @@ def _stars(able: DataFrame, similarity: int) -> DataFrame:
     one = able.select("rep", "n", "u", F.explode(first_half).alias("p"), second_half.alias("others"))
     tables = one.select("rep", "n", "u", F.col("p.key").alias("p"), F.explode("others.key").alias("q")).select("rep", "n", "u", F.xxhash64("p", "q").alias("t"))
     first = tables.groupBy("t").agg(F.min(F.struct("rep", "n", "u")).alias("f"), F.count("*").alias("c")).where("c > 1").select("t", F.col("f.rep").alias("a"), F.col("f.n").alias("m"), F.col("f.u").alias("v"))
-    first = materialize(first, "near-buckets")
+    first = materialize(first, "near-buckets", small=True)
     fits = _may_link(F.col("n"), F.col("u"), F.col("m"), F.col("v"), similarity)
     return tables.join(first, (tables.t == first.t) & (F.col("rep") != F.col("a")) & fits).select("a", F.col("rep").alias("b")).distinct()
 
@@ -244,8 +244,8 @@ def _remaining(able: DataFrame, found: DataFrame, similarity: int) -> DataFrame:
     components and may still be similar enough; each pair once, at its first shared key."""
     lists = able.select("rep", "n", "u", F.map_from_entries(F.filter("keys", lambda k: k["place"] < HALF)).alias("own"))
     lists = lists.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    each = materialize(lists.select("rep", "n", "u", "root", "own", F.explode("own").alias("place", "key")), "near-halves")
-    mixed_keys = materialize(each.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key"), "near-mixed")
+    each = materialize(lists.select("rep", "n", "u", "root", "own", F.explode("own").alias("place", "key")), "near-halves", small=True)
+    mixed_keys = materialize(each.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key"), "near-mixed", small=True)
     left = each.join(mixed_keys, "key", "left_semi")
     right = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "u", "root", "own")])
     earlier = F.exists(F.sequence(F.lit(0), F.lit(HALF - 1)), lambda i: (i < F.col("place")) & (F.try_element_at("own", i) == F.try_element_at("own2", i)))
