@@ -20,6 +20,11 @@ Model = Callable[[str, str], str]
 ATTEMPTS = 3
 BATCH_ATTEMPTS = 4
 
+#: Wording of the rewriter's prompts.
+REWRITE_LEAD = "Rewrite each sample below and reply with a JSON list that has one object for each id.\n"
+CONTEXT_LABEL = "Context:"
+LINE_LABEL = " says: "
+
 
 def linear_pause(attempt: int, error: Exception) -> float:
     return 2.0 * (attempt + 1)
@@ -93,15 +98,14 @@ def extract_lines(replies: DataFrame, index: str = "raw", chunk_text: bool = Fal
     return dedup_lines(lines, index)
 
 
-def rewrite_prompts(samples: DataFrame, speaker: str, preamble: str, size: int = 10) -> DataFrame:
+def rewrite_prompts(samples: DataFrame, speaker: str, preamble: str, size: int = 10, lead: str = REWRITE_LEAD, context_label: str = CONTEXT_LABEL, line_label: str = LINE_LABEL) -> DataFrame:
     """One prompt for each batch: rows (batch, ids, prompt) from single-turn samples with ``pos``.
 
     ``samples`` has ``pos`` and ``conversations`` of a context and a line.
     """
     parts = samples.select("pos", F.floor(F.col("pos") / size).alias("batch"), clean_context(F.element_at("conversations", 1)["value"], speaker, preamble).alias("context"), F.element_at("conversations", 2)["value"].alias("line"))
-    text = F.concat_ws("\n", F.concat(F.lit("--- id="), F.col("pos").cast("string"), F.lit(" ---")), F.concat(F.lit("上下文：\n"), F.col("context")), F.concat(F.lit(f"{speaker}原台词："), F.col("line"), F.lit("\n")))
+    text = F.concat_ws("\n", F.concat(F.lit("--- id="), F.col("pos").cast("string"), F.lit(" ---")), F.concat(F.lit(context_label + "\n"), F.col("context")), F.concat(F.lit(f"{speaker}{line_label}"), F.col("line"), F.lit("\n")))
     grouped = parts.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("pos", text.alias("text")))).alias("items"))
-    lead = "请处理以下样本，返回与输入数量、id 一一对应的 JSON 数组：\n"
     return grouped.select("batch", F.transform("items", lambda x: x["pos"]).alias("ids"), F.array_join(F.concat(F.array(F.lit(lead)), F.transform("items", lambda x: x["text"])), "\n").alias("prompt"))
 
 
