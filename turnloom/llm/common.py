@@ -8,12 +8,26 @@ from urllib.parse import urlparse
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import materialize, scratch_path, shared_dir  # noqa: F401
 
 #: Raw text handled at once inside a Python worker, in bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch between the JVM and its Python workers.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit for Arrow batches to ``BATCH_BYTES``; a lower one stays.
+
+    Rows differ in size by orders of magnitude, so a limit by rows alone does not bound memory.
+    """
+    now = spark.conf.get(_BATCH_SETTING).lower().rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
 
 
 def posix_path(url: str) -> str:

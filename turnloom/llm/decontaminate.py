@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_FOLD, Words, ragged, slices
+from .common import ASCII_FOLD, bound_batches, ragged, slices, Words
 
 #: Words of a window; a benchmark item of fewer words is one window.
 WINDOW = 10
@@ -19,7 +19,7 @@ SHARD_DOCS = 100_000
 #: Every so many text positions the index keeps the position of a suffix.
 SAMPLE = 8
 #: Bytes of text that a shard of ``drop_contaminated`` holds with its rows.
-HELD_BYTES = 32 << 20
+HELD_BYTES = 16 << 20
 #: Occurrences located at once.
 LOCATE_BLOCK = 1 << 18
 #: Words that all benchmark items may have: they travel to every task.
@@ -247,13 +247,14 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, *, id_col: str = "do
     words have no windows. The benchmark is collected, up to ``MAX_BENCHMARK_WORDS`` words; more
     is refused rather than cut. ``items`` are sorted as strings; a null item id is named "".
     """
+    bound_batches(df.sparkSession)
     phrases = collect_phrases(benchmark, item_col, item_text_col, window)
     narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, schema = _Shard(phrases), None
-        for batch, text in slices(batches, "text", 2 << 20):
+        for batch, text in slices(batches, "text", 1 << 20):
             schema = schema or pa.schema([(id_col, batch.schema.field(0).type), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
             shard.add(batch.column(0), text)
             if shard.size >= SHARD_SYMBOLS or shard.docs >= SHARD_DOCS:
@@ -272,6 +273,7 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, *, text_col: str = "t
     The same search as in ``find_contamination``; rows are held with their shard until it is
     indexed, so shards are bounded by bytes too, and nothing is joined or shuffled.
     """
+    bound_batches(df.sparkSession)
     phrases = collect_phrases(benchmark, item_col, item_text_col, window)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +284,7 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, *, text_col: str = "t
             for batch, first in zip(held, np.cumsum([0] + [b.num_rows for b in held]), strict=False):
                 yield batch.filter(pa.array(keep[first : first + batch.num_rows]))
 
-        for batch, text in slices(batches, text_col, 2 << 20):
+        for batch, text in slices(batches, text_col, 1 << 20):
             shard.add(pa.nulls(batch.num_rows), text)
             held.append(batch)
             size += text.nbytes

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import bound_batches, slices
 
 # Element names of HTML by their role for text extraction.
 CONTAINERS = frozenset("html body main article section div nav header footer aside form ul ol dl table tbody thead tfoot tr blockquote figure figcaption fieldset details menu dialog address center".split())
@@ -183,6 +183,7 @@ def extract_main_text(df: DataFrame, *, id_col: str = "page_id", url_col: str =
     Null html counts as empty; null ids and urls pass through; broken or cut markup gives the
     text up to there. Each page is handled alone, in Arrow batches, without a shuffle.
     """
+    bound_batches(df.sparkSession)
     narrow = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
     kinds = {f.name: f.dataType.simpleString() for f in narrow.schema}
 

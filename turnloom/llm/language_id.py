@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, slices
+from .common import bound_batches, buffers, slices
 
 #: Dimensions of the vectors and letters per n-gram.
 DIMENSIONS = 512
@@ -68,17 +68,23 @@ class HyperModel:
         size = len(letters) + 2  # 0 is the blank, 1 any other letter
         self.size = size
         base = np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (size, dimensions))
-        grams = np.ones((1, dimensions), np.int8)
-        for k in range(n):
-            grams = (grams[:, None, :] * np.roll(base, n - 1 - k, 1)[None, :, :]).reshape(-1, dimensions)
-        self.grams = grams
+        self.rolled = [np.roll(base, n - 1 - k, 1) for k in range(n)]
+        self.n_grams = size**n
         self.languages: list[str] = []
         self.prototypes = np.zeros((0, dimensions), np.float32)
 
     def __reduce__(self):
-        # the n-gram vectors follow from the seed: workers build them again
+        # the letter vectors follow from the seed: workers build them again
         return HyperModel, (self.letters, self.dimensions, self.n, self.seed), {"languages": self.languages, "prototypes": self.prototypes}
 
+    def vectors(self, grams: np.ndarray) -> np.ndarray:
+        """The bound vectors of n-grams."""
+        out = np.ones((len(grams), self.dimensions), np.int8)
+        for k in range(self.n - 1, -1, -1):
+            grams, letter = np.divmod(grams, self.size)
+            out *= self.rolled[k][letter]
+        return out
+
     def symbols(self, codes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
         return np.where(codes == 0, 0, np.where(self.letters[at] == codes, at + 2, 1))
@@ -99,8 +105,8 @@ class HyperModel:
         for k in range(self.n):
             gram = gram * self.size + symbols[k : k + m]
         inside = (doc[:m] == doc[self.n - 1 :]) & (symbols[(self.n - 1) // 2 :][:m] != 0)
-        key, count = np.unique(doc[:m][inside] * len(self.grams) + gram[inside], return_counts=True)
-        return key // len(self.grams), key % len(self.grams), count
+        key, count = np.unique(doc[:m][inside] * self.n_grams + gram[inside], return_counts=True)
+        return key // self.n_grams, key % self.n_grams, count
 
     def bundles(self, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """One vector per text."""
@@ -112,7 +118,7 @@ class HyperModel:
             distinct, at = np.unique(gram[a:b], return_inverse=True)
             table = np.zeros((last - first, len(distinct)), np.float32)
             table[doc[a:b] - first, at] = count[a:b]
-            out[first:last] = table @ self.grams[distinct].astype(np.float32)
+            out[first:last] = table @ self.vectors(distinct).astype(np.float32)
         return out
 
     def predict(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,6 +147,8 @@ def train_language_model(rows: DataFrame, *, letters: int = LETTERS, dimensions:
     The driver receives letter counts and one vector for each task and language.
     """
 
+    bound_batches(rows.sparkSession)
+
     def letter_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes_of, total = Codes(), np.zeros(1 << 16, np.int64)
         for _, text in slices(batches, "text"):
@@ -179,6 +187,7 @@ def identify_language(df: DataFrame, model: HyperModel, *, id_col: str = "doc_id
     model has no language. Ties go to the language that is first in alphabetical order. Rows are
     handled one by one in Arrow batches, without a shuffle; extra columns pass through.
     """
+    bound_batches(df.sparkSession)
     names = df.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", lang_pred string, lang_score double"
     languages = [*model.languages, UNDETERMINED]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_FOLD, materialize, slices, Words
+from .common import ASCII_FOLD, bound_batches, materialize, slices, Words
 
 #: Words of a shingle.
 SHINGLE = 5
@@ -192,6 +192,7 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     or not. Rows without words, null texts among them, are components of their own. A row with a
     null id belongs to the component of its copies, and is kept only if it has none.
     """
+    bound_batches(df.sparkSession)
     rows = materialize(sketch_documents(df, id_col, text_col, shingle), "near-sketches")
     named = rows.where("n > 0 AND id IS NOT NULL")
     classes = materialize(named.groupBy("w1", "w2", "n").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")), "near-classes", small=True)

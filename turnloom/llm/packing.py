@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import bound_batches, materialize, slices
 from .tokens import Encoder
 
 #: Pieces that one task packs together. Each block leaves at most about one sequence underfull.
@@ -29,13 +29,14 @@ def token_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     The ids of a document are those of its text and ``end_id``. Null texts count as empty; a
     document without any id (no ``end_id``) gives one piece of length 0.
     """
+    bound_batches(df.sparkSession)
     narrow = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of_worker(tokenizer)
         tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        for batch, text in slices(batches, "text", 8 << 20):
+        for batch, text in slices(batches, "text", 4 << 20):
             ids, ends = encoder.encode(text)
             raw, step = memoryview(ids.astype("<u4").tobytes()), 4 * max_tokens
             out: tuple[list, ...] = ([], [], [], [], [])

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import posix_path, scratch_path, slices
+from .common import bound_batches, posix_path, scratch_path, slices
 from .tokens import Encoder
 
 #: Input bytes for which one file is written, by the size Spark estimates for the table.
@@ -41,6 +41,7 @@ def write_token_files(df: DataFrame, folder: str | None = None, *, id_col: str =
     equal ids all stay; null ids come first. The folder must be mounted on every machine.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     folder = posix_path(folder or scratch_path(spark, "token-files"))
     os.makedirs(folder, exist_ok=True)
     narrow = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -55,7 +56,7 @@ def write_token_files(df: DataFrame, folder: str | None = None, *, id_col: str =
         temp = {k: f"{v}.{uuid.uuid4().hex}" for k, v in names.items()}
         encoder, docs, total = Encoder.of_worker(tokenizer), 0, 0
         out = None
-        for batch, text in slices(batches, "text", 8 << 20):
+        for batch, text in slices(batches, "text", 4 << 20):
             if out is None:
                 out = {k: open(v, "wb") for k, v in temp.items()}
                 out["offsets"].write(np.zeros(1, "<i8").tobytes())

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from .common import ragged
 
 #: Distinct pieces that a worker remembers; the memory of the cache is bounded by it.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 300_000
 TOKENIZER = "word_bpe_49k.json"
 
 
