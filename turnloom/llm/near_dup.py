@@ -136,21 +136,21 @@ def _alone(sets: DataFrame) -> DataFrame:
     return counted.where("c = 1").groupBy("rep").agg(F.count("*").alias("u"))
 
 
-def _may_link(n: Column, u: Column, m: Column, v: Column, similarity: int) -> Column:
-    """Whether sets of sizes n and m with u and v shingles of their own can reach the similarity.
+def _most_common(n: Column, u: Column, m: Column, v: Column) -> Column:
+    """How many shingles sets of sizes n and m with u and v of their own can have in common."""
+    return F.least(n - u, m - v)
 
-    At most min(n - u, m - v) shingles are common.
-    """
-    common = F.least(n - u, m - v)
-    return 100 * common >= similarity * (n + m - common)
+
+def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (a, b, na, nb, common): sizes of both whole shingle sets and of what they share."""
+    left, right = (sets.select(F.col("rep").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
+    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    return both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) whose whole shingle sets reach the similarity."""
-    left, right = (sets.select(F.col("rep").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.where(100 * common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    return _common(pairs, sets).where(100 * F.col("common") >= similarity * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     3. Table keys pair the half keys. In every table a class is compared with the smallest one of
        its bucket, on whole sets. Components of these links are found.
     4. Where classes of one bucket still lie in different components, all remaining pairs that
-       their sizes and own shingles allow are compared. So no pair that shares a table goes
+       their sizes, own shingles and overlap with one class of the bucket allow are compared. So no pair that shares a table goes
        untested unless it is already connected or its similarity is provably too low.
 
     Ids should be unique and are whole numbers; repeated rows share a component and are all kept
@@ -203,7 +203,7 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     links = materialize(_verified(_stars(able, similarity), sets, similarity), "near-links", small=True)
     found = components(links)
-    more = _verified(_remaining(able, found, similarity), sets, similarity)
+    more = _verified(_remaining(able, found, sets, similarity), sets, similarity)
     more = materialize(more, "near-more", small=True)
     if more.limit(1).count():
         found = components(links.unionByName(more))
@@ -236,21 +236,30 @@ def _stars(able: DataFrame, similarity: int) -> DataFrame:
     tables = one.select("rep", "n", "u", F.col("p.key").alias("p"), F.explode("others.key").alias("q")).select("rep", "n", "u", F.xxhash64("p", "q").alias("t"))
     first = tables.groupBy("t").agg(F.min(F.struct("rep", "n", "u")).alias("f"), F.count("*").alias("c")).where("c > 1").select("t", F.col("f.rep").alias("a"), F.col("f.n").alias("m"), F.col("f.u").alias("v"))
     first = materialize(first, "near-buckets", small=True)
-    fits = _may_link(F.col("n"), F.col("u"), F.col("m"), F.col("v"), similarity)
+    most = _most_common(F.col("n"), F.col("u"), F.col("m"), F.col("v"))
+    fits = 100 * most >= similarity * (F.col("n") + F.col("m") - most)
     return tables.join(first, (tables.t == first.t) & (F.col("rep") != F.col("a")) & fits).select("a", F.col("rep").alias("b")).distinct()
 
 
-def _remaining(able: DataFrame, found: DataFrame, similarity: int) -> DataFrame:
+def _remaining(able: DataFrame, found: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Pairs of classes that share a half key of the first collection, lie in different
     components and may still be similar enough; each pair once, at its first shared key."""
     lists = able.select("rep", "n", "u", F.map_from_entries(F.filter("keys", lambda k: k["place"] < HALF)).alias("own"))
     lists = lists.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     each = materialize(lists.select("rep", "n", "u", "root", "own", F.explode("own").alias("place", "key")), "near-halves", small=True)
-    mixed_keys = materialize(each.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key"), "near-mixed", small=True)
-    left = each.join(mixed_keys, "key", "left_semi")
-    right = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "u", "root", "own")])
+    mixed_keys = each.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min("rep").alias("pivot")).where("x <> y").select("key", "pivot")
+    left = materialize(each.join(materialize(mixed_keys, "near-mixed", small=True), "key"), "near-open", small=True)
+    # what each class has in common with the smallest one of its key bounds what two have in common
+    near = _common(left.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), sets)
+    near = materialize(near.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "common"), "near-pivots", small=True)
+    left = materialize(left.join(near, ["pivot", "rep"]), "near-sides", small=True)
+    right = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "u", "root", "own", "common")])
     earlier = F.exists(F.sequence(F.lit(0), F.lit(HALF - 1)), lambda i: (i < F.col("place")) & (F.try_element_at("own", i) == F.try_element_at("own2", i)))
-    fits = _may_link(F.col("n"), F.col("u"), F.col("n2"), F.col("u2"), similarity)
+    most = _most_common(F.col("n"), F.col("u"), F.col("n2"), F.col("u2"))
+    # inside the pivot, and outside it, where neither's own shingles count
+    outside = F.least(F.col("n") - F.col("common") - F.col("u"), F.col("n2") - F.col("common2") - F.col("u2"))
+    most = F.least(most, F.least("common", "common2") + F.greatest(outside, F.lit(0)))
+    fits = 100 * most >= similarity * (F.col("n") + F.col("n2") - most)
     pair = (F.col("rep") < F.col("rep2")) & (F.col("root") != F.col("root2")) & fits & ~F.coalesce(earlier, F.lit(False))
     a, b = left.alias("a"), right.alias("b")
     return a.join(b, (F.col("a.key") == F.col("b.key")) & pair).select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
