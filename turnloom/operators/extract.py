@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.replies import parse_replies, rewrite_entries
 from ..functions.text import clean_context
@@ -59,7 +60,8 @@ def call_model(rows: DataFrame, make_model: Callable[[], Model], system: str, pr
     the result before using it: a plan that is run twice asks the model twice.
     """
     rows = rows.repartition(parallel) if parallel else rows
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", response string, error string"
+    rows = rows.drop("response", "error")
+    schema = T.StructType([*rows.schema.fields, T.StructField("response", T.StringType()), T.StructField("error", T.StringType())])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = make_model()
