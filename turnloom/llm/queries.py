@@ -82,6 +82,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_classifier, op3_decontamination, op4_html_extraction, op5_best_fit_packing, op6_language_id, op7_url_filter, op8_minhash_near_dedup, op9_license_scan, op10_token_files)}
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL = {
     "op1_exact_dedup": """
         WITH g AS (
@@ -91,4 +93,47 @@ ORACLE_SQL = {
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(g.t) AS text_sha256
         FROM documents d JOIN g ON coalesce(d.text, '') = g.t
     """,
+    "op3_decontamination": f"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+        ), i AS (
+            SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+        ), win AS (
+            SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(list_slice(w, p, p + least(10, len(w)) - 1), ' ') AS k
+            FROM i, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(p) WHERE len(w) > 0
+        ), sizes AS (
+            SELECT DISTINCT n FROM win
+        ), places AS (
+            SELECT doc_id, p, n, array_to_string(list_slice(w, p, p + n - 1), ' ') AS k FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(p)
+        ), hit AS (
+            SELECT doc_id, p, n, item FROM places JOIN win USING (n, k)
+        ), hits AS (
+            SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT DISTINCT doc_id, p, n FROM hit), unnest(range(p, p + n)) AS t(q) GROUP BY doc_id
+        ), items AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+    "op8_minhash_near_dedup": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, hash(array_to_string(list_slice(w, p, p + 4), ' '), len(list_slice(w, p, p + 4))) AS x
+            FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(p) WHERE len(w) > 0
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id
+            GROUP BY 1, 2 HAVING 100 * count(*) >= 85 * ((SELECT n FROM n WHERE doc_id = a.doc_id) + (SELECT n FROM n WHERE doc_id = b.doc_id) - count(*))
+        ), reach AS (
+            SELECT a AS doc_id, b AS other FROM links
+            UNION
+            SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+        ), least_one AS (
+            SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, d.doc_id <= coalesce(m, d.doc_id) AS kept
+        FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_one USING (doc_id)
+    """,
 }
