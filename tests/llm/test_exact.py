@@ -6,7 +6,7 @@ from turnloom.llm import exact
 
 def test_groups_and_survivors(spark):
     rows = [(1, "a"), (2, "a"), (3, None), (4, ""), (5, "A"), (6, "a "), (7, "long " * 20_000), (8, "long " * 20_000), (None, "a"), (None, "only null"), (9, "rep"), (9, "rep")]
-    docs = spark.createDataFrame([(a, b, f"s{i}", i, "h", 1) for i, (a, b) in enumerate(rows)], "doc_id long, text string, sha string, size int, h string, row int")
+    docs = spark.createDataFrame([(a, b, f"s{i}", i, "h", 1) for i, (a, b) in enumerate(rows)], "doc_id long, text string, sha string, repeated int, h string, `doc.x` int")
     groups = defaultdict(list)
     for key, text in rows:
         groups[text or ""].append(key)

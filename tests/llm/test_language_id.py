@@ -53,10 +53,10 @@ def test_op6_on_the_table(spark):
 
 def test_odd_rows(spark):
     rows = [(1, None, "en", "x"), (2, "", "en", "x"), (3, "12 ... 34", "en", "x"), (None, "the cat sat on the mat", "en", "x"), (5, "le chat est sur le lit", "fr", "x"), (6, "the dog sat", None, "x"), (6, "the dog sat", None, "x"), (7, "the mat " * 50_000, "en", "x"), (8, "日本語", "en", "x")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_score string")
     model = language_id.train_language_model(df.where("lang IS NOT NULL"))
     got = language_id.identify_language(df, model)
-    assert got.columns == [*df.columns, "lang_pred", "lang_score"]
+    assert got.columns == ["doc_id", "text", "lang", "lang_pred", "lang_score"]
     found = [(r.doc_id, r.lang_pred, r.lang_score) for r in got.collect()]
     assert found[:3] == [(1, "und", 0.0), (2, "und", 0.0), (3, "und", 0.0)]
     assert [f[1] for f in found[3:8]] == ["en", "fr", "en", "en", "en"]

@@ -1,6 +1,8 @@
 import importlib.util
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 
 
@@ -58,7 +60,7 @@ def test_dropping_operators_keep_odd_rows(spark):
 
     item = "one two three four five six seven eight nine ten eleven"
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
-    docs = spark.createDataFrame([(1, f"x {item}", "a"), (None, f"y {item}", "b"), (2, None, "c"), (None, "z", "d"), (2, None, "c")], "doc_id long, text string, n_hit string")
+    docs = spark.createDataFrame([(1, f"x {item}", "a"), (None, f"y {item}", "b"), (2, None, "c"), (None, "z", "d"), (2, None, "c")], "doc_id long, text string, n_hit string").withColumn("__gone0", F.lit(1))
     left = decontaminate.drop_contaminated(docs, bench)
     assert left.columns == docs.columns and sorted(r.n_hit for r in left.collect()) == ["c", "c", "d"]
     assert decontaminate.drop_contaminated(docs.limit(0), bench).count() == 0

@@ -72,12 +72,13 @@ def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Of rows with equal ids and texts the largest remaining columns decide. Rows that are alone
     are not shuffled; of a repeated text each task sends on one row.
     """
-    names = df.columns
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     hashes = materialize(df.select(F.xxhash64(text).alias("h")), "exact-hashes")
     bits = _bits(hashes.count())
     found = materialize(repeated_bits(hashes, bits), "exact-filter")
-    flagged = flag_repeated(df.withColumn("_h", F.xxhash64(text)), "_h", found, bits)
-    key, row = "_sha", F.struct(*[F.col(n) for n in [id_col, *(n for n in names if n != id_col)]])
-    best = flagged.where("repeated").withColumn(key, F.sha2(text, 256)).groupBy(key).agg(F.max(row).alias("_row")).select("_row.*")
-    return flagged.where("NOT repeated").select(*names).unionByName(best.select(*names))
+    # the columns travel as one, so that none can clash with those added here
+    whole = df.select(F.struct(*[F.col(f"`{n}`") for n in df.columns]).alias("doc"), text.alias("text"), F.xxhash64(text).alias("h"))
+    flagged = flag_repeated(whole, "h", found, bits)
+    order = F.struct(F.col("doc")[id_col], F.col("doc"))
+    best = flagged.where("repeated").groupBy(F.sha2("text", 256).alias("sha")).agg(F.max_by("doc", order).alias("doc"))
+    return flagged.where("NOT repeated").select("doc").unionByName(best.select("doc")).select("doc.*")

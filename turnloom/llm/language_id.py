@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bound_batches, buffers, slices
 
@@ -180,23 +181,23 @@ def train_language_model(rows: DataFrame, *, letters: int = LETTERS, dimensions:
     return model
 
 
-def identify_language(df: DataFrame, model: HyperModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``df`` with ``lang_pred`` and ``lang_score``.
+def identify_language(df: DataFrame, model: HyperModel, *, text_col: str = "text", pred_col: str = "lang_pred", score_col: str = "lang_score") -> DataFrame:
+    """All columns of ``df`` with the predicted language and its score; such columns are replaced.
 
     ``und`` with score 0 stands for null texts, texts without a letter, and any text where the
     model has no language. Ties go to the language that is first in alphabetical order. Rows are
-    handled one by one in Arrow batches, without a shuffle; extra columns pass through.
+    handled one by one in Arrow batches, without a shuffle; other columns pass through.
     """
     bound_batches(df.sparkSession)
-    names = df.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", lang_pred string, lang_score double"
+    df = df.drop(pred_col, score_col)
+    schema = T.StructType([*df.schema.fields, T.StructField(pred_col, T.StringType()), T.StructField(score_col, T.DoubleType())])
     languages = [*model.languages, UNDETERMINED]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes_of = Codes()
         for batch, text in slices(batches, text_col):
             best, score = model.predict(*codes_of(text))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([languages[k] for k in best], pa.string()), pa.array(score.astype(np.float64))], names=[*names, "lang_pred", "lang_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([languages[k] for k in best], pa.string()), pa.array(score.astype(np.float64))], names=[*batch.schema.names, pred_col, score_col])
 
     return df.mapInArrow(predict, schema)
 
@@ -207,6 +208,6 @@ def drop_unidentified(df: DataFrame, model: HyperModel, *, text_col: str = "text
     Rejected are texts without a letter, and those of ``LEAST_CHARS`` or more whose cosine with
     every language is below ``least``; a few words say too little to be rejected by it.
     """
-    found = identify_language(df, model, text_col=text_col)
-    like = (F.col("lang_score") >= least) | (F.length(text_col) < LEAST_CHARS)
-    return found.where((F.col("lang_pred") != UNDETERMINED) & like).select(*[F.col(f"`{c}`") for c in df.columns])
+    found = identify_language(df, model, text_col=text_col, pred_col="__language", score_col="__cosine")
+    like = (F.col("__cosine") >= least) | (F.length(text_col) < LEAST_CHARS)
+    return found.where((F.col("__language") != UNDETERMINED) & like).drop("__language", "__cosine")

@@ -224,9 +224,9 @@ def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str
     Rows with a null id cannot be named and stay; so do all rows that share a kept id.
     """
     found = near_duplicates(df, id_col=id_col, text_col=text_col, shingle=shingle, similarity=similarity)
-    gone = materialize(found.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_gone")).distinct(), "near-gone", small=True)
+    gone = materialize(found.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__gone")).distinct(), "near-gone", small=True)
     few = gone.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return df.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col("__gone"), "left_anti")
 
 
 def _stars(able: DataFrame, similarity: int) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bound_batches, materialize, slices
 from .tokens import Encoder
@@ -150,7 +151,7 @@ def pack_pieces(pieces: DataFrame, *, max_tokens: int = 2048, block_pieces: int
                 at += lengths[i]
         return table.drop_columns(["block"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", sequence_id long, offset long"
+    out = T.StructType([*schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     packed = rest.withColumn("block", key).groupBy("block").applyInArrow(pack, out)
     full = pieces.where(F.col("length") >= max_tokens).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
     return full.unionByName(packed)
