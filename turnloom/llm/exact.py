@@ -79,6 +79,6 @@ def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # the columns travel as one, so that none can clash with those added here
     whole = df.select(F.struct(*[F.col(f"`{n}`") for n in df.columns]).alias("doc"), text.alias("text"), F.xxhash64(text).alias("h"))
     flagged = flag_repeated(whole, "h", found, bits)
-    order = F.struct(F.col("doc")[id_col], F.col("doc"))
-    best = flagged.where("repeated").groupBy(F.sha2("text", 256).alias("sha")).agg(F.max_by("doc", order).alias("doc"))
-    return flagged.where("NOT repeated").select("doc").unionByName(best.select("doc")).select("doc.*")
+    row = F.struct(F.col("doc")[id_col].alias("id"), F.col("doc"))
+    best = flagged.where("repeated").groupBy(F.sha2("text", 256).alias("sha")).agg(F.max(row).alias("best"))
+    return flagged.where("NOT repeated").select("doc").unionByName(best.select("best.doc")).select("doc.*")
