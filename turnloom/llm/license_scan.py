@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words of a k-gram.
@@ -58,8 +58,8 @@ def words(text: Column) -> Column:
 
 def template_grams(spark: SparkSession, templates: tuple[Template, ...], k: int = K) -> DataFrame:
     """Rows (gram, template, place) of every k-gram of every template, hashed."""
-    rows = [(i, t.text) for i, t in enumerate(templates)]
-    at = spark.createDataFrame(rows, "template int, text string").select("template", words(F.col("text")).alias("w"))
+    rows = F.inline(F.array(*[F.struct(F.lit(i).alias("template"), F.lit(t.text).alias("text")) for i, t in enumerate(templates)]))
+    at = spark.range(1, numPartitions=1).select(rows).select("template", words(F.col("text")).alias("w"))
     return _grams(at, ["template"], k).where("gram IS NOT NULL").select("gram", "template", F.col("i").alias("place"))
 
 
@@ -98,35 +98,21 @@ def scan_licenses(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         .groupBy("id", "row", "n_words", "template", (F.col("i") - F.col("place")).alias("diagonal"))
         .agg(F.count("template").alias("votes"), F.min("place").alias("low"), F.max("place").alias("high"))
     )
+    # base templates keep their diagonals apart; of the others, near diagonals are one passage
+    based = F.array(*[F.lit(t.base) for t in templates])
+    lane = Window.partitionBy("id", "row", "n_words", "template").orderBy("diagonal")
+    parts = votes.withColumn("new", F.when(F.get(based, "template") | (F.col("diagonal") - F.lag("diagonal").over(lane) > drift), 1).otherwise(0))
+    passages = (
+        parts.withColumn("passage", F.sum("new").over(lane))
+        .groupBy("id", "row", "n_words", "template", "passage")
+        .agg(F.min("diagonal").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("votes").alias("votes"))
+    )
     facts = F.array(*[F.struct(F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), F.lit(n).alias("size")) for t, n in zip(templates, sizes, strict=True)])
-    lane = F.when(F.col("template").isNotNull(), F.struct("template", "diagonal", F.col("votes").cast("int").alias("votes"), "low", "high"))
-    per_row = votes.groupBy("id", "row", "n_words").agg(F.array_sort(F.collect_list(lane)).alias("lanes"))
-    return per_row.select(F.col("id").alias(id_col), "n_words", _spans(F.col("lanes"), facts, k, drift, cover).alias("spans"))
-
-
-def _spans(lanes: Column, facts: Column, k: int, drift: int, cover: float) -> Column:
-    """Folds sorted lanes into passages and keeps those that are verified."""
-    passage = "array<struct<template:int,first:int,diagonal:int,low:int,high:int,votes:int>>"
-
-    def fresh(x: Column) -> Column:
-        return F.struct(x["template"].alias("template"), x["diagonal"].alias("first"), x["diagonal"].alias("diagonal"), x["low"].alias("low"), x["high"].alias("high"), x["votes"].alias("votes"))
-
-    def merge(done: Column, x: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        base = F.get(facts, x["template"])["base"]
-        joins = (F.size(done) > 0) & ~base & (last["template"] == x["template"]) & (x["diagonal"] - last["diagonal"] <= drift)
-        joined = F.struct(
-            last["template"].alias("template"), last["first"].alias("first"), x["diagonal"].alias("diagonal"),
-            F.least(last["low"], x["low"]).alias("low"), F.greatest(last["high"], x["high"]).alias("high"), (last["votes"] + x["votes"]).alias("votes"),
-        )
-        return F.when(joins, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined))).otherwise(F.concat(done, F.array(fresh(x))))
-
-    def span(p: Column) -> Column:
-        fact = F.get(facts, p["template"])
-        # on one diagonal, n k-grams in a row cover n + k - 1 words; a break costs up to k - 1 of them
-        covered = F.least(p["votes"] + (k - 1), p["high"] - p["low"] + k)
-        score = F.least(covered / fact["size"], F.lit(1.0))
-        return F.struct(p["template"].alias("template"), fact["label"].alias("label"), fact["base"].alias("base"), F.greatest(p["first"] + p["low"], F.lit(0)).cast("long").alias("start"), fact["size"].alias("words"), score.alias("score"))
-
-    merged = F.aggregate(lanes, F.array().cast(passage), merge)
-    return F.filter(F.transform(merged, span), lambda s: F.when(s["base"], s["score"] >= 1.0).otherwise(s["score"] >= cover))
+    fact = F.get(facts, "template")
+    # on one diagonal, n k-grams in a row cover n + k - 1 words; a break costs up to k - 1 of them
+    covered = F.least(F.col("votes") + (k - 1), F.col("high") - F.col("low") + k)
+    score = F.least(covered / fact["size"], F.lit(1.0))
+    start = F.greatest(F.col("first") + F.col("low"), F.lit(0)).cast("long")
+    span = F.struct("template", fact["label"].alias("label"), fact["base"].alias("base"), start.alias("start"), fact["size"].alias("words"), score.alias("score"))
+    verified = F.when(F.col("template").isNotNull() & (score >= F.when(fact["base"], 1.0).otherwise(cover)), span)
+    return passages.groupBy("id", "row", "n_words").agg(F.array_sort(F.collect_list(verified)).alias("spans")).select(F.col("id").alias(id_col), "n_words", "spans")
