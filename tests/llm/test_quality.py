@@ -70,11 +70,11 @@ def test_op2_on_the_table(spark):
 def test_odd_rows(spark):
     docs = [(i, f"A fine sentence number {i}.\nAnother good one.", "x") for i in range(40)] + [(40 + i, f"buy!!! now!!! {i} ### %%%\n$$$ !!!", "x") for i in range(40)]
     docs += [(90, None, "x"), (91, "", "x"), (None, "A fine sentence.", "x"), (92, "Long and fine. " * 20_000, "x"), (93, "A fine line.\n" * 5_000, "x"), (0, docs[0][1], "x")]
-    df = spark.createDataFrame(docs, "doc_id long, text string, quality_score0 string")
+    df = spark.createDataFrame(docs, "doc_id long, text string, quality_score string")
     labels = spark.createDataFrame([(i, int(i < 40), 0) for i in range(80)] + [(5, 0, 0), (None, 1, 0), (6, None, 0)], "doc_id long, quality int, toxic int")
     model = quality.train_quality_model(df, labels, lit(True))
     scored = quality.score_quality(df, model)
-    assert scored.columns == [*df.columns, "quality_score"]
+    assert scored.columns == df.columns
     score = {}
     for r in scored.collect():
         score.setdefault(r.doc_id, r.quality_score)

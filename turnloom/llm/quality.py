@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import buffers, slices
+from .common import bound_batches, buffers, slices
 
 #: Labelled documents that training takes at most: those with the smallest hashes.
 MAX_TRAINING_DOCS = 6_000
@@ -102,6 +103,11 @@ def line_features(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return features.astype(np.float32), sizes, of_doc
 
 
+def _log_odds(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-4, 1 - 1e-4)
+    return np.log(p / (1 - p))
+
+
 class LineCrf:
     """Two labels, bad 0 and good 1; binned features of a line and of both neighbours."""
 
@@ -110,6 +116,7 @@ class LineCrf:
         self.edges = [np.zeros(0)] * len(FEATURES)
         self.weights = np.zeros((3, len(FEATURES) * (bins + 1) + 1))
         self.moves = np.zeros((2, 2))
+        self.scale = np.array([1.0, 0.0])
 
     def _columns(self, features: np.ndarray) -> np.ndarray:
         width = self.bins + 1
@@ -188,16 +195,30 @@ class LineCrf:
                 m += 0.1 * (g - m)
                 s += 0.01 * (g * g - s)
                 q += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
+        p, _ = self.marginals(self._emission(columns, first, last), offsets)
+        full = np.flatnonzero(lengths)
+        self._calibrate(np.add.reduceat(p * weight, offsets[:-1][full]), good[full].astype(float))
         return self
 
+    def _calibrate(self, mean: np.ndarray, good: np.ndarray) -> None:
+        """Logistic regression of the labels on the log-odds of the weighted mean, by Newton steps."""
+        x = np.stack([_log_odds(mean), np.ones(len(mean))], 1)
+        for _ in range(20):
+            p = 1 / (1 + np.exp(-np.clip(x @ self.scale, -60, 60)))
+            hess = (x * (p * (1 - p))[:, None]).T @ x + np.eye(2) * 0.1
+            self.scale = self.scale + np.linalg.solve(hess, x.T @ (good - p) - 0.1 * (self.scale - [1.0, 0.0]))
+
     def score(self, text: pa.Array) -> np.ndarray:
-        """P(good) of each text: its lines' marginals, weighted by their lengths."""
+        """P(good) of each text: its lines' marginals, weighted by their lengths, calibrated."""
         features, sizes, offsets = line_features(text)
         first, last = np.zeros(len(features), bool), np.zeros(len(features), bool)
         first[offsets[:-1]], last[offsets[1:] - 1] = True, True
         good, _ = self.marginals(self._emission(self._columns(features), first, last), offsets)
         weight = np.maximum(sizes, 1).astype(np.float64)
-        return np.clip(np.add.reduceat(good * weight, offsets[:-1]) / np.add.reduceat(weight, offsets[:-1]), 0, 1) if len(text) else np.zeros(0)
+        if not len(text):
+            return np.zeros(0)
+        mean = np.add.reduceat(good * weight, offsets[:-1]) / np.add.reduceat(weight, offsets[:-1])
+        return 1 / (1 + np.exp(-np.clip(_log_odds(mean) * self.scale[0] + self.scale[1], -60, 60)))
 
 
 def train_quality_model(df: DataFrame, labels: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = MAX_TRAINING_DOCS) -> LineCrf:
@@ -206,6 +227,7 @@ def train_quality_model(df: DataFrame, labels: DataFrame, learn: Column, *, id_c
     ``labels`` holds (id, 0 or 1); a document labelled both ways counts as good. The line features
     of the sample come to the driver, which its bound makes small.
     """
+    bound_batches(df.sparkSession)
     chosen = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("good"))
         .where(learn & F.col("good").isin(0, 1) & F.col("id").isNotNull())
@@ -232,17 +254,19 @@ def train_quality_model(df: DataFrame, labels: DataFrame, learn: Column, *, id_c
     return LineCrf().fit(table[:, :-1], table[:, -1], np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64), np.array(good))
 
 
-def score_quality(df: DataFrame, model: LineCrf, *, text_col: str = "text") -> DataFrame:
-    """All columns of ``df`` with ``quality_score``, 0 to 1, higher where good is likelier.
+def score_quality(df: DataFrame, model: LineCrf, *, text_col: str = "text", score_col: str = "quality_score") -> DataFrame:
+    """All columns of ``df`` with a score, 0 to 1, higher where good is likelier.
 
     Null counts as the empty text, which is one empty line. Whole texts are read, in Arrow
-    batches, without a shuffle; equal texts have equal scores.
+    batches, without a shuffle; equal texts have equal scores. A column of the score's name is
+    replaced.
     """
-    names = df.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", quality_score double"
+    bound_batches(df.sparkSession)
+    df = df.drop(score_col)
+    schema = T.StructType([*df.schema.fields, T.StructField(score_col, T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, text in slices(batches, text_col, 1 << 20):
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(text))], names=[*names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(text))], names=[*batch.schema.names, score_col])
 
     return df.mapInArrow(score, schema)
