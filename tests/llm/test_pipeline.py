@@ -1,4 +1,5 @@
 import importlib.util
+from collections import Counter
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -66,3 +67,33 @@ def test_dropping_operators_keep_odd_rows(spark):
     assert decontaminate.drop_contaminated(docs.limit(0), bench).count() == 0
     left = near_dup.drop_near_duplicates(docs)
     assert left.columns == docs.columns and left.count() == 5
+
+
+def left_at(rows, percent):
+    """Brute force: the smallest id of each component of pairs of at least this similarity."""
+    shingles = other("test_near_dup").shingles
+    sets = {key: shingles(text) for key, text in rows}
+    holders, root = {}, {key: key for key in sets}
+    for key in sorted(sets):
+        common = Counter(k for x in sets[key] for k in holders.get(x, ()))
+        for x in sets[key]:
+            holders.setdefault(x, []).append(key)
+        for k, c in common.items():
+            if 100 * c >= percent * (len(sets[key]) + len(sets[k]) - c):
+                a, b = sorted((root[key], root[k]))
+                root = {n: a if r == b else r for n, r in root.items()} if a != b else root
+    return {key for key in sets if root[key] == key}
+
+
+def test_near_copies_from_80_percent_go(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    words = [f"w{i}" for i in range(104)]
+    edited = [*words[:20], "x", *words[21:60], "y", *words[61:]]  # 90 of 110 shingles: 0.818
+    other_text = [*words[:20], "p", *words[21:40], "q", *words[41:60], "r", *words[61:]]  # 85 of 115: 0.739
+    edge = [(20_000_001, " ".join(words)), (20_000_002, " ".join(edited)), (20_000_003, " ".join(other_text))]
+    table = corpus_pipeline.drop_exact_copies(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+    docs = table.select("doc_id", "text").unionByName(spark.createDataFrame(edge, "doc_id long, text string"))
+    rows = [tuple(r) for r in docs.collect()]
+    left = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()}
+    assert left == left_at(rows, 80) and left < left_at(rows, 85)
+    assert left & {k for k, _ in edge} == {20_000_001, 20_000_003}
