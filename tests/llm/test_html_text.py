@@ -50,3 +50,8 @@ def test_nulls_and_empty_table(spark):
     got = html_text.extract_main_text(pages).collect()
     assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, [(1, None, "", 0), (None, "u", "x", 1), (1, None, "", 0)]))
     assert html_text.extract_main_text(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("mark", ["<![ endif]>", "<![foo]>", "<![if x]>", "<![endif]-->", "<![if x>", "<![]>", "<![CDATA[ x ]]>", "<![CDATA[ x >"])
+def test_text_after_broken_declarations_stays(mark):
+    assert main_text(f"<p>one</p>{mark}<p>two</p><p>three</p><![endif]><p>four</p>") == "one\ntwo\nthree\nfour"

@@ -108,6 +108,12 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.text.append(data)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """As in browsers, ``<![`` opens a comment that ends at the next ``>``, so none fails or
+        swallows what follows; only CDATA sections that are closed run to their own end."""
+        end = super().parse_marked_section(i, report) if self.rawdata[i : i + 9].lower() == "<![cdata[" else -1
+        return end if end >= 0 else self.parse_bogus_comment(i, report)
+
 
 def smoothed(values: list[float], sigma: float = SIGMA) -> list[float]:
     """Gaussian smoothing; at the ends the kernel is normalised over the lines there are."""
@@ -146,11 +152,8 @@ def main_text(html: str) -> str:
     and comment areas are never content.
     """
     parser = _Lines()
-    try:
-        parser.feed(html)
-        parser.close()
-    except AssertionError:  # the parser gives up on some broken declarations
-        pass
+    parser.feed(html)
+    parser.close()
     parser.flush()
     lines = parser.lines
     usable = [i for i, x in enumerate(lines) if not x[3]]
@@ -180,8 +183,8 @@ def main_text(html: str) -> str:
 def extract_main_text(df: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per page: id, url, ``text`` (empty if there is none) and ``n_chars``, its code points.
 
-    Null html counts as empty; null ids and urls pass through; broken or cut markup gives the
-    text up to there. Each page is handled alone, in Arrow batches, without a shuffle.
+    Null html counts as empty; null ids and urls pass through; cut markup gives the text
+    up to there, and what follows broken declarations stays. Each page is handled alone, in Arrow batches, without a shuffle.
     """
     bound_batches(df.sparkSession)
     narrow = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
