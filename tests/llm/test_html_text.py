@@ -55,3 +55,15 @@ def test_nulls_and_empty_table(spark):
 @pytest.mark.parametrize("mark", ["<![ endif]>", "<![foo]>", "<![if x]>", "<![endif]-->", "<![if x>", "<![]>", "<![CDATA[ x ]]>", "<![CDATA[ x >"])
 def test_text_after_broken_declarations_stays(mark):
     assert main_text(f"<p>one</p>{mark}<p>two</p><p>three</p><![endif]><p>four</p>") == "one\ntwo\nthree\nfour"
+
+
+def test_text_beside_one_long_part_stays():
+    text = " ".join(LONG.split())
+    menu = "<div><a href=/>Home</a> | <a href=/n>News of the day</a></div>"
+    for open_, close in (("<ul>" + f"<li>{LONG}" * 40, "</ul>"), ("<table>" + f"<tr><td>{LONG}" * 40, "</table>"), ("<section>" + f"<p>{LONG}" * 40, "</section>"), ("<blockquote>" + f"<p>{LONG}" * 40, "</blockquote>"), ("<div><p>" + LONG * 40, "</div>")):
+        page = f"<html><body>{menu}<div id=content><h1>The heading</h1><p>An introduction.</p>{open_}{close}<section><h2>Next</h2><p>A short section.</p></section><p>Closing words.</p></div>{menu}"
+        got = main_text(page).split("\n")
+        assert got[:2] == ["The heading", "An introduction."] and got[-3:] == ["Next", "A short section.", "Closing words."]
+        assert " ".join(got[2:-3]) == " ".join([text] * 40)
+    assert main_text(f"<body><h1><a href=x>Title</a></h1><section><p>{LONG}</section><section>Two</section>") == f"Title\n{text}\nTwo"
+    assert main_text("<div><a href=x>only</a></div><div><a href=y>links</a></div>") == "only\nlinks"

@@ -24,31 +24,36 @@ LEFT_OUT_WORDS = frozenset("ad ads advert adverts advertisement banner sponsor s
 
 #: Width of the Gaussian in lines.
 SIGMA = 1.5
-#: Part of the content cluster's text that the chosen container must hold.
+#: Part of the content cluster's text that the core container must hold.
 HELD = 0.9
+#: Part of a line's characters from which on links make it a menu where no other text is beside it.
+LINKED = 0.5
 _WORDS = re.compile(r"[a-z]+|[0-9]+")
 
 
 class _Lines(HTMLParser):
-    """Turns parser events into lines: (text, tags, container, left out). Keeps no tree."""
+    """Turns parser events into lines: (text, tags, container, left out, links). Keeps no tree."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, bool, bool]] = []
         self.parents: list[int] = [-1]
         self.names: list[str] = [""]
         self.open: list[tuple[str, int, bool]] = []  # name, container, left out
         self.out = 0
         self.text: list[str] = []
         self.tags = 0
+        self.anchor = False
+        self.linked = 0  # characters of the line in links, blanks aside
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
             container = next((c for _, c, _ in reversed(self.open) if c >= 0), 0)
-            self.lines.append((text, self.tags, container, self.out > 0))
+            self.lines.append((text, self.tags, container, self.out > 0, self.linked >= LINKED * len("".join(text.split()))))
             self.tags = 0
         self.text.clear()
+        self.linked = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -56,6 +61,10 @@ class _Lines(HTMLParser):
         elif tag == "br":
             self.text.append(" ")
         self.tags += 1
+        if tag == "a":
+            self.anchor = any(name == "href" for name, _ in attrs)
+        elif tag in CONTAINERS:
+            self.anchor = False
         if tag == "body":
             self.close_to(0)
         elif tag in BLOCKS and self.open and (self.open[-1][0] == "p" or self.open[-1][0] == tag and tag in ENDS_ITSELF):
@@ -94,6 +103,8 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCKS or tag in LEFT_OUT:
             self.flush()
+        if tag == "a" or tag in CONTAINERS:
+            self.anchor = False
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
                 if k < len(self.open) - 1 or tag not in BLOCKS:
@@ -107,6 +118,8 @@ class _Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
+        if self.anchor:
+            self.linked += len("".join(data.split()))
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         """As in browsers, ``<![`` opens a comment that ends at the next ``>``, so none fails or
@@ -147,9 +160,11 @@ def main_text(html: str) -> str:
 
     Parser events cut the page into lines, one per block. Lines whose smoothed ratio of text to
     tags lies in the upper of two clusters are content; the innermost container that holds nearly
-    all of their text (or the article or main element around it) is the content region, so short
-    blocks between long ones stay. Blocks inside menus, headers, footers, forms, adverts, notices
-    and comment areas are never content.
+    all of their text is the core. The content region is the article or main element around the
+    core; where there is none, the innermost container that holds the core and all text outside
+    menus, so headings, introductions and sections beside one long part stay. Menus are lines of
+    links outside the core, in containers without other text. Blocks inside menus, headers,
+    footers, forms, adverts, notices and comment areas are never content.
     """
     parser = _Lines()
     parser.feed(html)
@@ -159,25 +174,34 @@ def main_text(html: str) -> str:
     usable = [i for i, x in enumerate(lines) if not x[3]]
     if not usable:
         return ""
-    ratios = smoothed([len(t) / (tags + 1) for t, tags, _, _ in lines])
+    ratios = smoothed([len(x[0]) / (x[1] + 1) for x in lines])
     threshold = two_clusters([ratios[i] for i in usable])
-    content = [i for i in usable if ratios[i] >= threshold]
-    held = [0] * len(parser.names)
-    for i in content:
-        held[lines[i][2]] += len(lines[i][0])
+    held, plain = [0] * len(parser.names), [0] * len(parser.names)
+    menus = not all(lines[i][4] for i in usable)  # a page of nothing but links is no menu
+    for i in usable:
+        size = len(lines[i][0])
+        held[lines[i][2]] += size if ratios[i] >= threshold else 0
+        plain[lines[i][2]] += 0 if menus and lines[i][4] else size
     for c in range(len(held) - 1, 0, -1):  # children have larger numbers than their parents
         held[parser.parents[c]] += held[c]
-    region = max((c for c in range(len(held)) if held[c] >= HELD * held[0]), default=0)
-    around = region
+        plain[parser.parents[c]] += plain[c]
+    core = max((c for c in range(len(held)) if held[c] >= HELD * held[0]), default=0)
+    region, around = -1, core
     while around > 0:
         if parser.names[around] in ("article", "main"):
             region = around
         around = parser.parents[around]
-    inside = [False] * len(held)
-    inside[region] = True
-    for c in range(region + 1, len(held)):
-        inside[c] = inside[parser.parents[c]]
-    return "\n".join(lines[i][0] for i in usable if inside[lines[i][2]])
+    if region >= 0:
+        core = region
+    else:
+        region = core
+        while region > 0 and plain[region] < plain[0]:
+            region = parser.parents[region]
+    inside, in_core = [False] * len(held), [False] * len(held)
+    for c in range(region, len(held)):
+        inside[c] = c == region or inside[parser.parents[c]]
+        in_core[c] = c == core or in_core[parser.parents[c]]
+    return "\n".join(lines[i][0] for i in usable if inside[lines[i][2]] and (in_core[lines[i][2]] or plain[lines[i][2]]))
 
 
 def extract_main_text(df: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
