@@ -49,3 +49,23 @@ def test_repeated_rows_and_short_templates(spark):
     assert sorted(len(r.spans) for r in license_scan.scan_licenses(df).collect()) == [1, 1, 1]
     with pytest.raises(ValueError):
         license_scan.scan_licenses(df, templates=(license_scan.Template("x", "two words"),))
+
+
+def test_labels_need_the_words_that_matter(spark, monkeypatch):
+    notice = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License"
+    cases = {
+        "GNU General Public License version 2": "", "GNU General Public License, version 3": "gpl-3", "GNU Lesser General Public License version 3": "lgpl",
+        "the GNU Affero General Public License version 3": "agpl", "Mozilla Public License version 1": "", "Mozilla Public License, version 2.0": "mpl-2",
+        notice.format("General"): "gpl", notice.format("Lesser General"): "lgpl", notice.format("Affero General"): "agpl", notice.format("General").replace("is free", "is a free"): "gpl",
+        "the Lesser General Public License": "lgpl", "released into the public": "", "put into the public domain": "public-domain",
+        "permission is hereby granted free of charge " * 6: "", "permission is hereby permission is hereby permission is hereby granted free of charge granted free of charge": "",
+    }
+    assert {t: r.labels for t, r in zip(cases, scan(spark, monkeypatch, list(cases)), strict=True)} == cases
+
+
+def test_long_templates_are_counted_in_full(spark):
+    words = [f"w{i}" for i in range(200)]
+    long = license_scan.Template("long", " ".join(words), True)
+    texts = [" ".join(words), " ".join(words[:199]), " ".join(["x", *words, *words])]
+    got = license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates=(long,)).orderBy("doc_id").collect()
+    assert [[(s.start, s.score) for s in r.spans] for r in got] == [[(0, 1.0)], [], [(1, 1.0), (201, 1.0)]]
