@@ -14,10 +14,15 @@ _scratch: list[tuple[SparkSession, str]] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a fresh temporary folder is used.
+    Where the session names none, a fresh temporary folder is used if the executors run on the
+    driver's machine in its own process (a master of ``local``, as in tests). Any other master is
+    refused, since its executors would each write to a disk of their own.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
         found = getattr(shared_dir, "own", None)
         if found is None:
             found = shared_dir.own = "file://" + tempfile.mkdtemp(prefix="turnloom-")
@@ -32,13 +37,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def release_scratch() -> None:
     """Delete the intermediate tables of this session; call it once their results are stored."""
     while _scratch:
         spark, path = _scratch.pop()
         try:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(spark, path)
         except Exception:  # the session has ended
             return
 
@@ -52,4 +61,15 @@ def materialize(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     (df.hint("rebalance") if small else df).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch_path = path
+    return back
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote and that nothing will read again."""
+    for table in tables:
+        entry = (table.sparkSession, table._scratch_path)
+        if entry in _scratch:
+            _scratch.remove(entry)
+            _delete(*entry)
