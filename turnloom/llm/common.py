@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import materialize, scratch_path, shared_dir  # noqa: F401
+from ..sources.shared import free, materialize, scratch_path, shared_dir  # noqa: F401
 
 #: Raw text handled at once inside a Python worker, in bytes.
 SLICE_BYTES = 1 << 20

@@ -1,14 +1,17 @@
 """Token ids of whole texts through the tokenizers library, one distinct word at a time.
 
-``word_bpe`` drops white space and never merges across it, nor across the border between a
-letter and a following full stop or comma, and it lower-cases. So the ids of a text are the ids
-of its pieces in order, and each distinct piece needs encoding once per worker. Texts that hold
-``<|`` may contain special tokens, which are matched before any of this: those go to the library
-whole.
+A tokenizer of the kind of ``word_bpe`` normalises by NFC, white space to blanks and lower case,
+drops white space and never merges across it, nor across the border between a letter and a
+following full stop or comma. So the ids of a text are the ids of its pieces in order, and each
+distinct piece needs encoding once per worker; the library normalises each piece itself. A letter
+counts as such here only if its normalised form ends in one whatever stands before it, which ASCII
+and Latin-1 letters do. Texts that hold ``<|`` may contain special tokens, which are matched before
+any of this: those go to the library whole, as do all texts with any other kind of tokenizer.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 from itertools import chain
@@ -24,6 +27,18 @@ from .common import ragged
 CACHE_PIECES = 300_000
 TOKENIZER = "word_bpe_49k.json"
 
+# The normaliser and the pre-tokenizer for which texts may be cut into pieces, and
+# the parts of a tokenizer that must be empty.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+_EMPTY = ("truncation", "padding", "post_processor")
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -31,14 +46,23 @@ def default_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def splits_into_pieces(tokenizer: dict) -> bool:
+    """Whether the ids of a text are those of its pieces, for a tokenizer file's content."""
+    plain = all(not t["normalized"] and "<|" in t["content"] and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in tokenizer["added_tokens"])
+    return plain and tokenizer["normalizer"] == _NORMALIZER and tokenizer["pre_tokenizer"] == _PRE_TOKENIZER and not any(tokenizer.get(k) for k in _EMPTY)
+
+
 class Encoder:
-    """Encodes Arrow text arrays to flat ids; ``by_piece`` holds only for tokenizers as above."""
+    """Encodes Arrow text arrays to flat ids; by pieces where the tokenizer is of the kind above."""
 
-    def __init__(self, path: str | None = None, by_piece: bool = True, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, path: str | None = None, by_piece: bool | None = None, cache_pieces: int = CACHE_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or default_path())
+        if by_piece is None:
+            with open(path or default_path(), encoding="utf-8") as file:
+                by_piece = splits_into_pieces(json.load(file))
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.by_piece, self.cache_pieces = by_piece, cache_pieces
         self.place: dict[str, int] = {}  # of a piece in sizes and starts
@@ -60,8 +84,8 @@ class Encoder:
         return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
 
     def _pieces(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        plain = pc.replace_substring_regex(pc.ascii_lower(text), "[\n\t\r]", " ")
-        plain = pc.replace_substring_regex(plain, r"(\p{L})([.,])", r"\1 \2")
+        plain = pc.replace_substring_regex(text, "[\n\t\r]", " ")
+        plain = pc.replace_substring_regex(plain, "([A-Za-zÀ-ÖØ-öø-ÿ])([.,])", r"\1 \2")
         words = pc.split_pattern(plain, " ")
         of_doc = words.offsets.to_numpy().astype(np.int64)
         coded = words.values.slice(of_doc[0], of_doc[-1] - of_doc[0]).dictionary_encode()
