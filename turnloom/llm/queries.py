@@ -53,7 +53,8 @@ URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("block", "net
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
-    model = url_filter.train_url_model(url_filter.label_by_host_words(pages))
+    labelled = url_filter.label_by_host_words(pages.where(~url_filter.held_out_host(F.col("url"))))
+    model = url_filter.train_url_model(labelled, known=url_filter.BLOCKED_HOST_WORDS)
     return url_filter.filter_urls(pages, URL_RULES, model)
 
 
