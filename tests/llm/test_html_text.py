@@ -1,6 +1,9 @@
 import html
 import re
+import time
 
+import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from turnloom.llm import html_text, queries
@@ -67,3 +70,81 @@ def test_text_beside_one_long_part_stays():
         assert " ".join(got[2:-3]) == " ".join([text] * 40)
     assert main_text(f"<body><h1><a href=x>Title</a></h1><section><p>{LONG}</section><section>Two</section>") == f"Title\n{text}\nTwo"
     assert main_text("<div><a href=x>only</a></div><div><a href=y>links</a></div>") == "only\nlinks"
+
+
+def test_threshold_against_brute_force():
+    random = np.random.default_rng(5)
+    for _ in range(200):
+        n = int(random.integers(1, 12))
+        values, weights = [float(v) for v in random.integers(0, 9, n)], [int(w) for w in random.integers(1, 5, n)]
+
+        def error(threshold):
+            parts = [[(v, w) for v, w in zip(values, weights) if (v >= threshold) == side] for side in (True, False)]
+            means = [sum(v * w for v, w in p) / sum(w for _, w in p) if p else 0 for p in parts]
+            return sum(w * (v - m) ** 2 for p, m in zip(parts, means) for v, w in p)
+
+        found = two_clusters(values, weights)
+        assert found in values and error(found) <= min(error(v) for v in values) + 1e-9
+
+
+def unmarked(page):
+    """A page whose parts carry no names: every part is a plain div."""
+    return re.sub("<(/?)(?:article|footer|nav)>", r"<\1div>", page).replace('class="ad"', "")
+
+
+def test_clusters_choose_the_content():
+    """Without names the ratios decide; with every line taken for content, all pages come out wrong."""
+    pages = [r["html"] for r in pq.read_table("/root/testdata/sf0.01/pages.parquet").to_pylist()]
+    articles = [main_text(p) for p in pages]
+    right = [main_text(unmarked(p)) == a for p, a in zip(pages, articles)]
+    off = [main_text(unmarked(p), lambda values, _: min(values)) == a for p, a in zip(pages, articles)]
+    assert sum(right) / len(pages) > 0.85 and sum(off) == 0
+    # the best line alone does not do either: content may have several parts
+    parts = "".join(f"<div><h2>Part {k}</h2><p>{LONG * k}</p></div>" for k in (2, 3, 4))
+    page = f"<body><div><a href=/>Home</a> <a href=/x>More</a></div><div>{parts}</div><div>Plain foot</div>"
+    assert main_text(page).count("Part") == 3 and "foot" not in main_text(page)
+    assert main_text(page, lambda values, _: max(values)).count("Part") == 1
+
+
+def article(extra=""):
+    return f"<h1>Title</h1><p>{LONG}</p><p>Short.</p>{extra}<p>{LONG}</p><p>{LONG}</p>"
+
+
+TEXT = "\n".join(["Title", " ".join(LONG.split()), "Short.", " ".join(LONG.split()), " ".join(LONG.split())])
+FRAME = "<nav><ul><li><a href=/>Home</a><li><a href=/b>About us</a></ul></nav>"
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "with-sidebar", "has-related", "share-ready", "page no-footer", "sticky-header", "banner-off"])
+def test_layout_names_lose_no_article(name):
+    assert main_text(f"<body>{FRAME}<div class='{name}'><div>{article()}</div></div><footer>Foot</footer>") == TEXT
+    assert main_text(f"<body class='{name}'>{FRAME}<article class='{name}'>{article()}</article><footer>Foot</footer>") == TEXT
+
+
+def test_forms_around_pages_and_unclosed_headers():
+    assert main_text(f"<body><form action=/>{FRAME}<div>{article()}</div><footer>Foot</footer></form>") == TEXT
+    assert main_text(f"<body><header>{FRAME}<div>{article()}</div><footer>Foot</footer>") == TEXT
+    assert main_text(f"<body><header><b>Site</b><article>{article()}</article><footer>Foot</footer>") == TEXT
+    assert main_text(f"<body>{FRAME}<main>{article('<form><p>Your mail</p></form>')}</main>") == TEXT
+
+
+def test_long_comments_stay_out():
+    comments = "".join(f"<article class='comment'><p>{LONG}</p></article>" for _ in range(30))
+    assert main_text(f"<body>{FRAME}<article>{article()}</article><section class=comments><h3>Comments</h3>{comments}</section>") == TEXT
+    assert main_text(f"<body>{FRAME}<article>{article()}<div id=comments><h3>Comments</h3>{comments}</div></article>") == TEXT
+    assert main_text(f"<body>{FRAME}<div>{article()}</div><div class=respond><p>{LONG * 40}</div>") == TEXT
+
+
+def test_deep_pages_with_unmatched_ends_are_linear():
+    def seconds(n):
+        page = "<div><p class=x>word word" * n + "</section></span></td>" * n
+        start = time.perf_counter()
+        assert main_text(page).count("\n") == n - 1
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(8_000) < 3
+
+
+def test_columns_with_clashing_names_and_repeats(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>x", "a", 1)] * 3, "page_id long, url string, html string, `id` string, n_chars int")
+    assert [tuple(r) for r in html_text.extract_main_text(pages).collect()] == [(1, "u", "x", 1)] * 3
