@@ -1,6 +1,8 @@
+import unicodedata
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
@@ -28,6 +30,32 @@ def test_pieces_give_the_ids_of_whole_texts():
         assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == ids_of(texts)
 
 
+def same_ids(encoder, texts):
+    ids, ends = encoder.encode(pa.array(texts, pa.large_string()))
+    want = [x.ids for x in encoder.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return [t for t, a, b, w in zip(texts, ends[:-1], ends[1:], want) if ids[a:b].tolist() != w]
+
+
+def test_pieces_with_every_code_point():
+    encoder = Encoder()
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x20000 or c % 997 == 0) and unicodedata.category(chr(c)) != "Cn"]
+    for first in range(0, len(points), 10_000):
+        assert same_ids(encoder, [f"a{c}.b {c}, {c}'s .{c}" for c in points[first : first + 10_000]]) == []
+
+
+def test_pieces_of_random_strings():
+    random = np.random.default_rng(3)
+    pool = [*"abcABCWTHJYIK.,' \n\t1" * 8, *"\u0301\u030a\u0307\u0308\u0331\u030c\u00a0\u2003İıǰẗÅK" * 4, "'s", "'LL", "क़.", "ড়,", "שׁ.", "BEŞİKTAŞ, ", "İLİ.", *map(chr, range(0xA1, 0x600, 7))]
+    texts = ["".join(random.choice(pool, int(random.integers(1, 50)))) for _ in range(10_000)]
+    assert same_ids(Encoder(cache_pieces=5_000), texts) == []
+
+
+def test_other_tokenizers_get_whole_texts():
+    other = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert Encoder().by_piece and not other.by_piece
+    assert same_ids(other, [*ODD, "It is one. Two,  three"]) == []
+
+
 def test_token_files_round_trip(spark, tmp_path):
     rows = [(5, "Fifth."), (1, None), (3, ""), (3, "again"), (None, "no id"), (2, "word " * 5000)]
     docs = spark.createDataFrame([(a, b, "x", 0) for a, b in rows], "doc_id long, text string, shard string, ids int")
@@ -49,6 +77,17 @@ def test_token_files_round_trip(spark, tmp_path):
     assert token_files.read_token_index(spark, empty).count() == 0
 
 
+def test_equal_ids_are_dealt_to_several_files(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "BYTES_PER_FILE", 2_000)
+    docs = spark.range(3_000).selectExpr("if(id % 3 = 0, id, if(id % 3 = 1, 5, null)) AS doc_id", "concat('word ', id) AS text", "id AS place")
+    folder = token_files.write_token_files(docs)
+    told = token_files.manifest(folder)
+    assert len(told["shards"]) > 5 and max(s["docs"] for s in told["shards"]) < 1_000
+    got = token_files.read_token_index(spark, folder).orderBy("start").collect()
+    assert len(got) == 3_000 and [r.doc_id or 0 for r in got] == sorted(r.doc_id or 0 for r in got)
+    assert [r.start for r in got] == [int(x) for x in np.cumsum([0] + [r.n_tokens for r in got])[:-1]]
+
+
 def test_files_need_a_mounted_folder(spark):
     with pytest.raises(ValueError):
         token_files.write_token_files(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "s3a://bucket/x")
@@ -98,9 +137,84 @@ def test_packing_of_nulls_repeats_and_blocks(spark):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_repeated_ids_are_dealt_to_several_blocks(spark):
+    docs = spark.range(400).selectExpr("cast(null AS long) AS doc_id", "repeat('x ', cast(id % 60 AS int)) AS text")
+    got = packing.pack_documents(docs, max_tokens=100, block_pieces=50).collect()
+    assert len({r.sequence_id >> 32 for r in got}) > 4
+    check_packing(got, 100)
+
+
 def test_local_search_empties_bins():
-    lengths = [10, 5, 5, 9, 6, 5]
-    assert len(packing.pack_lengths(lengths, 20, passes=0)) == 3
-    bins = packing.pack_lengths(lengths, 20)
+    lengths = [10, 6, 9, 5, 5, 5]
+    assert len(packing.pack_lengths(lengths[::-1], 20, search=False)) == 3
+    bins = packing.pack_lengths(lengths[::-1], 20)
     assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
-    assert [sum(lengths[i] for i in b) for b in bins] == [20, 20]
+    assert [sum(lengths[::-1][i] for i in b) for b in bins] == [20, 20]
+
+
+def test_search_beats_its_start_and_ends_in_a_local_optimum():
+    random = np.random.default_rng(1)
+    for low, high in ((20, 90), (10, 60), (30, 55), (1, 99)):
+        lengths = [int(v) for v in random.integers(low, high, 300)]
+        bins = packing.best_fit(lengths, 100)
+        start = len(bins)
+        search = packing._Exchanges(bins, lengths, 100)
+        squares = []
+        improve = search.improve
+
+        def followed(poor):
+            changed = improve(poor)
+            if changed:
+                squares.append(int(((100 - search.free) ** 2).sum()))
+            return changed
+
+        search.improve = followed
+        search.run()
+        assert squares == sorted(set(squares))
+        found = [b for b in bins if b]
+        assert sorted(i for b in found for i in b) == list(range(300)) and max(sum(lengths[i] for i in b) for b in found) <= 100
+        assert len(found) < start or start == search.least or low == 30
+        if len(found) > search.least:  # by brute force no change is left that raises the squares
+            fill = [sum(lengths[i] for i in b) for b in found]
+            for p, poor in enumerate(found):
+                gifts = [lengths[i] for i in poor] + [lengths[i] + lengths[j] for n, i in enumerate(poor) for j in poor[n + 1 :]]
+                for c, other in enumerate(found):
+                    if c != p and fill[p] < 100:
+                        for size in gifts:
+                            for back in [0, *[lengths[i] for i in other]]:
+                                after = fill[c] + size - back
+                                single = size in [lengths[i] for i in poor]
+                                assert not (0 <= back < size and fill[p] < after <= 100 and (single or back))
+
+
+def test_exact_optimum_of_small_cases():
+    random = np.random.default_rng(2)
+
+    def optimum(lengths):
+        best = [len(lengths)]
+
+        def place(k, free):
+            if len(free) >= best[0]:
+                return
+            if k == len(lengths):
+                best[0] = len(free)
+                return
+            for b in range(len(free)):
+                if free[b] >= lengths[k]:
+                    place(k + 1, [*free[:b], free[b] - lengths[k], *free[b + 1 :]])
+            place(k + 1, [*free, 20 - lengths[k]])
+
+        place(0, [])
+        return best[0]
+
+    cases = [[int(v) for v in random.integers(3, 12, 8)] for _ in range(40)]
+    gaps = [len(packing.pack_lengths(c, 20)) - optimum(c) for c in cases]
+    assert min(gaps) == 0 and sum(g > 0 for g in gaps) <= 4 and max(gaps) <= 1
+
+
+def test_clashing_columns_of_pieces(spark):
+    pieces = spark.createDataFrame([(1, 0, 0, 5, 9, 7)], "doc_id long, piece int, start long, length long, ids_crc32 long, block int")
+    got = packing.pack_pieces(pieces, max_tokens=10).collect()
+    assert got[0].block == 7 and got[0].offset == 0
+    with pytest.raises(ValueError):
+        packing.pack_pieces(pieces.withColumnRenamed("block", "offset"))

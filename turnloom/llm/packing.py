@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +18,6 @@ from .tokens import Encoder
 
 #: Pieces that one task packs together. Each block leaves at most about one sequence underfull.
 BLOCK_PIECES = 4096
-#: Local search: passes over the emptiest sequences of a block, and partners tried for each.
-PASSES = 4
-PARTNERS = 64
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -27,8 +25,10 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def token_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int | None = 0, max_tokens: int = 2048) -> DataFrame:
     """One row per piece: documents of more than ``max_tokens`` ids are cut, others are one piece.
 
-    The ids of a document are those of its text and ``end_id``. Null texts count as empty; a
-    document without any id (no ``end_id``) gives one piece of length 0.
+    The ids of a document are those of its text and ``end_id``. Null texts count as empty; texts
+    of any length are encoded whole; null and repeated ids stay as they are. A document without
+    any id (no ``end_id``) gives one piece of length 0. An empty table gives an empty one; other
+    columns are not read, whatever their names.
     """
     bound_batches(df.sparkSession)
     narrow = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -52,20 +52,12 @@ def token_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return narrow.mapInArrow(cut, PIECES)
 
 
-def pack_lengths(lengths: list[int], capacity: int, passes: int = PASSES, partners: int = PARTNERS) -> list[list[int]]:
-    """Indices of the given lengths in as few bins as the search finds.
-
-    Best fit decreasing first. Then, from the emptiest bin on, bins give to fuller ones: one or
-    two items move, or are exchanged one-for-one, two-for-one or one-for-two for items that are
-    smaller together. Of all such changes the one that leaves the other bin fullest is made. Each
-    makes a fuller bin fuller, so the sum of squared fills rises and the search ends.
-    """
+def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
+    """Indices of the lengths in bins: each, in the given order, goes where it leaves least room."""
     bins: list[list[int]] = []
-    free: list[int] = []
     by_free: list[list[int]] = [[] for _ in range(capacity + 1)]
     open_sizes = 0
-    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
-        size = lengths[i]
+    for i, size in enumerate(lengths):
         fits = open_sizes >> size
         if fits:
             room = size + (fits & -fits).bit_length() - 1
@@ -75,84 +67,153 @@ def pack_lengths(lengths: list[int], capacity: int, passes: int = PASSES, partne
         else:
             b, room = len(bins), capacity
             bins.append([])
-            free.append(0)
         bins[b].append(i)
-        free[b] = room - size
-        by_free[free[b]].append(b)
-        open_sizes |= 1 << free[b]
-    for _ in range(passes):
-        order = sorted((b for b in range(len(bins)) if bins[b] and free[b]), key=lambda b: free[b])
-        if not any([_give_away(order[k], order[max(0, k - partners) : k], bins, free, lengths) for k in range(len(order) - 1, max(0, len(order) - partners), -1)]):
-            break
-    return [b for b in bins if b]
+        by_free[room - size].append(b)
+        open_sizes |= 1 << (room - size)
+    return bins
+
 
+class _Exchanges:
+    """Local search on bins: moves and exchanges between two bins that raise the sum of squared fills.
 
-def _give_away(poor: int, fuller: list[int], bins: list[list[int]], free: list[int], lengths: list[int]) -> bool:
-    """Moves and exchanges from one bin to fuller ones until none raises the squared fill."""
-    changed = False
-    while bins[poor]:
-        found = None  # (room left, other bin, items given, items taken back)
-        own = sorted(bins[poor], key=lambda i: -lengths[i])
-        gifts = [(lengths[i], (i,)) for i in own] + [(lengths[i] + lengths[k], (i, k)) for x, i in enumerate(own) for k in own[x + 1 :]]
-        for c in fuller:
-            if not bins[c] or not free[c] or free[c] > free[poor]:
-                continue
-            items = sorted(bins[c], key=lambda j: lengths[j])
-            singles = [lengths[j] for j in items]
-            for size, gift in gifts:
-                if size <= free[c]:
-                    back: list[tuple[int, tuple[int, ...]]] = [(0, ())]
-                else:
-                    least = size - free[c]
-                    k = bisect_left(singles, least)
-                    back = [(singles[k], (items[k],))] if k < len(items) and singles[k] < size else []
-                    if len(gift) == 1:
-                        for x, j in enumerate(items):
-                            k = bisect_left(singles, least - singles[x], x + 1)
-                            if k < len(items) and singles[x] + singles[k] < size:
-                                back.append((singles[x] + singles[k], (j, items[k])))
-                for taken, given in back:
-                    left = free[c] - size + taken
-                    if found is None or left < found[0]:
-                        found = (left, c, gift, given)
-        if found is None:
-            break
-        left, other, gift, given = found
-        free[poor] += free[other] - left
-        free[other] = left
-        bins[poor] = [i for i in bins[poor] if i not in gift] + list(given)
-        bins[other] = [i for i in bins[other] if i not in given] + list(gift)
+    A change takes one or two items out of a bin and puts them into another one, for nothing or for
+    one smaller item of it. The sum rises exactly if the other bin is then fuller than the first
+    one was. Of all such changes the one that leaves least room is made.
+    """
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
+        self.bins, self.capacity = bins, capacity
+        self.sizes = np.array(lengths, np.int64)
+        self.where = np.zeros(len(lengths), np.int64)
+        for b, items in enumerate(bins):
+            self.where[items] = b
+        self.free = capacity - np.bincount(self.where, self.sizes, len(bins)).astype(np.int64)
+        self.list = self.sizes.tolist()
+        self.order = np.argsort(self.sizes, kind="stable")
+        self.sorted = self.sizes[self.order].tolist()
+        self.used = sum(map(bool, bins))
+        self.least = -(-int(self.sizes.sum()) // capacity)
+
+    def run(self) -> None:
+        """From the emptiest bin on, until no change raises the sum or no bin can be emptied."""
         changed = True
-    return changed
+        while changed and self.used > self.least:
+            changed = False
+            order = np.argsort(-self.free, kind="stable")
+            for poor in order[(self.free[order] > 0) & (self.free[order] < self.capacity)].tolist():
+                while self.bins[poor] and self.free[poor] and self.improve(poor):
+                    changed = True
+                if self.used == self.least:
+                    return
+
+    def improve(self, poor: int) -> bool:
+        """The best change of the first kind that has one: a move, one for one, two for one."""
+        sizes, capacity, limit = self.list, self.capacity, int(self.free[poor])
+        room = self.free.copy()
+        room[room == capacity] = -1  # empty bins are none to move to
+        room[poor] = -1
+        widest = int(room.max())
+        gifts = {sizes[i]: (i,) for i in self.bins[poor]}
+        best, change = limit, None  # the room left must be less than the poor bin has
+        for size, gift in gifts.items():
+            if size <= widest:
+                left = np.where(room >= size, room - size, capacity)
+                at = int(left.argmin())
+                if left[at] < best:
+                    best, change = int(left[at]), (gift, None, at)
+        if change is None:
+            change = self.exchange(gifts, room, widest, limit)
+        if change is None:
+            pairs = {sizes[i] + sizes[j]: (i, j) for i, j in combinations(self.bins[poor], 2)}
+            change = self.exchange(pairs, room, widest, limit)
+        if change is None:
+            return False
+        self.make(poor, *change)
+        return True
+
+    def exchange(self, gifts: dict[int, tuple[int, ...]], room: np.ndarray, widest: int, limit: int) -> tuple | None:
+        """The gift that with one smaller item taken back for it leaves least room, and that item."""
+        if not gifts or widest <= 0:
+            return None
+        # by size, so that only items are looked at that could make way
+        first = bisect_left(self.sorted, min(gifts) - widest)
+        items = self.order[first : bisect_left(self.sorted, max(gifts))]
+        bins = self.where[items]
+        # an item in a full bin or in the poor one cannot make way: its reach is no more than its size
+        reach = self.sizes[items] + room[bins]
+        best, found = limit, None
+        for size, gift in gifts.items():
+            a, b = bisect_left(self.sorted, size - widest) - first, bisect_left(self.sorted, size) - first
+            if a < b:
+                left = np.where(reach[a:b] >= size, reach[a:b] - size, self.capacity)
+                at = int(left.argmin())
+                if left[at] < best:
+                    best, found = int(left[at]), (gift, int(items[a + at]), int(bins[a + at]))
+                    if not best:
+                        break
+        return found
+
+    def make(self, poor: int, gift: tuple[int, ...], item: int | None, other: int) -> None:
+        for i in gift:
+            self.bins[poor].remove(i)
+            self.where[i] = other
+        self.bins[other] += gift
+        change = sum(self.list[i] for i in gift)
+        if item is not None:
+            self.bins[other].remove(item)
+            self.bins[poor].append(item)
+            self.where[item] = poor
+            change -= self.list[item]
+        self.free[other] -= change
+        self.free[poor] += change
+        self.used -= not self.bins[poor]
+
+
+def pack_lengths(lengths: list[int], capacity: int, search: bool = True) -> list[list[int]]:
+    """Indices of the given lengths in as few bins as the search finds.
+
+    Best fit in the given order, then moves and exchanges between underfull bins until none raises
+    the sum of squared fills, or until there are as few bins as the sum of all lengths allows.
+    """
+    bins = best_fit(lengths, capacity)
+    if search and lengths:
+        _Exchanges(bins, lengths, capacity).run()
+    return [b for b in bins if b]
 
 
 def pack_pieces(pieces: DataFrame, *, max_tokens: int = 2048, block_pieces: int = BLOCK_PIECES) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows (doc_id, piece, start, length, ...).
 
-    Full pieces are sequences by themselves. The others are dealt by hash into blocks of about
-    ``block_pieces``, each packed in one task, so memory is bounded at any size. Repeated rows
-    are packed like any other; an empty table gives an empty one.
+    Full pieces are sequences by themselves. The others are dealt by the hash of their place in the
+    table into blocks of about ``block_pieces``, each packed in one task, so memory is bounded at
+    any size, whatever ids repeat or are null. Repeated rows are packed like any other; pieces of
+    equal lengths are placed by id; an empty table gives an empty one. Columns named
+    ``sequence_id`` or ``offset`` are refused.
     """
+    if clash := {"sequence_id", "offset"} & set(pieces.columns):
+        raise ValueError(f"the pieces have columns of their own named {sorted(clash)}")
     schema = pieces.schema
     pieces = materialize(pieces, "pieces")
     rest = pieces.where(F.col("length") < max_tokens)
     blocks = max(1, -(-rest.count() // block_pieces))
-    key = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks))
+    key = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
+    block = next(f"block{'_' * k}" for k in range(len(pieces.columns) + 1) if f"block{'_' * k}" not in pieces.columns)
 
     def pack(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")])
+        # a plain order: by id, not by length
+        table = table.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("length", "descending")])
         lengths = table["length"].to_pylist()
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        base = (table["block"][0].as_py() + 1) << 32
+        base = (table[block][0].as_py() + 1) << 32
         for k, items in enumerate(pack_lengths(lengths, max_tokens)):
             at = 0
             for i in sorted(items):
                 sequence[i], offset[i] = base + k, at
                 at += lengths[i]
-        return table.drop_columns(["block"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+        return table.drop_columns([block]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     out = T.StructType([*schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    packed = rest.withColumn("block", key).groupBy("block").applyInArrow(pack, out)
+    packed = rest.withColumn(block, key).groupBy(block).applyInArrow(pack, out)
     full = pieces.where(F.col("length") >= max_tokens).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
     return full.unionByName(packed)
 

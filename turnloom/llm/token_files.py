@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, posix_path, scratch_path, slices
+from .common import bound_batches, buffers, free, materialize, posix_path, scratch_path, slices
 from .tokens import Encoder
 
-#: Input bytes for which one file is written, by the size Spark estimates for the table.
+#: Bytes of ids for which one file is written, about; they are counted before the files are.
 BYTES_PER_FILE = 32 << 20
 
 MANIFEST = T.StructType([T.StructField("shard", T.LongType()), T.StructField("docs", T.LongType()), T.StructField("ids", T.LongType())])
@@ -33,43 +33,47 @@ def _files(folder: str, shard: int) -> dict[str, str]:
 def write_token_files(df: DataFrame, folder: str | None = None, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int | None = 1, files: int | None = None) -> str:
     """Write the ids of every text in ascending order of ``id_col``; returns the folder.
 
-    The rows are dealt by ranges of the id and sorted inside each range. A shard has three files:
-    ``ids`` (uint16 if the vocabulary fits, else uint32), ``offsets`` (int64, one more than
-    documents) and ``docs`` (int64 ids, the lowest int64 for null). ``manifest.json`` holds the
-    counts and the base of each shard, a prefix sum over them. Files appear by an atomic rename,
-    so retried and speculative tasks leave the same result. Null texts count as empty; rows with
-    equal ids all stay; null ids come first. The folder must be mounted on every machine.
+    The texts are read and encoded once, where they lie; what is dealt by ranges of the id and
+    sorted is their ids. A shard has three files: ``ids`` (uint16 if the vocabulary fits, else
+    uint32), ``offsets`` (int64, one more than documents) and ``docs`` (int64 ids, the lowest int64
+    for null). ``manifest.json`` holds the counts and the base of each shard, a prefix sum over
+    them. Files appear by an atomic rename, so retried and speculative tasks leave the same result.
+
+    Null texts count as empty; a long text is one row of ids, whole. Rows with equal ids all stay;
+    they and rows without an id, which come first, may be dealt to several files. An empty table
+    gives a folder without shards. Other columns are not read, whatever their names. The folder
+    must be mounted on every machine.
     """
     spark = df.sparkSession
     bound_batches(spark)
     folder = posix_path(folder or scratch_path(spark, "token-files"))
     os.makedirs(folder, exist_ok=True)
-    narrow = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    encoded = materialize(encoded_texts(df, id_col=id_col, text_col=text_col, tokenizer=tokenizer, end_id=end_id), "token-ids")
+    # the place in the written table parts rows with equal ids
+    placed = encoded.withColumn("place", F.xxhash64(F.monotonically_increasing_id()))
     if files is None:
-        size = int(str(df.select(text_col)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        files = max(spark.sparkContext.defaultParallelism, min(100_000, size // BYTES_PER_FILE))
-    dtype = "uint16" if Encoder(tokenizer).vocab_size <= 1 << 16 else "uint32"
+        size = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+        files = max(1, -(-size // BYTES_PER_FILE))
+    dtype = _dtype(tokenizer)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         names = _files(folder, shard)
         temp = {k: f"{v}.{uuid.uuid4().hex}" for k, v in names.items()}
-        encoder, docs, total = Encoder.of_worker(tokenizer), 0, 0
-        out = None
-        for batch, text in slices(batches, "text", 4 << 20):
+        docs, total, out = 0, 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             if out is None:
                 out = {k: open(v, "wb") for k, v in temp.items()}
                 out["offsets"].write(np.zeros(1, "<i8").tobytes())
-            ids, ends = encoder.encode(text)
-            if end_id is not None:
-                full = np.full(len(ids) + len(text), end_id, np.uint32)
-                full[np.arange(len(ids)) + np.repeat(np.arange(len(text)), np.diff(ends))] = ids
-                ids, ends = full, ends + np.arange(len(ends))
-            ids.astype("<" + {"uint16": "u2", "uint32": "u4"}[dtype]).tofile(out["ids"])
+            raw, ends = buffers(batch.column(1).cast(pa.large_binary()))
+            raw.tofile(out["ids"])
+            ends = ends // np.dtype(dtype).itemsize
             (ends[1:] + total).astype("<i8").tofile(out["offsets"])
             keys = batch.column(0)
             keys.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype("<i8").tofile(out["docs"])
-            docs, total = docs + len(text), total + len(ids)
+            docs, total = docs + batch.num_rows, total + int(ends[-1])
         if out is not None:
             for kind, handle in out.items():
                 handle.close()
@@ -77,7 +81,9 @@ def write_token_files(df: DataFrame, folder: str | None = None, *, id_col: str =
             yield pa.RecordBatch.from_pydict({"shard": [shard], "docs": [docs], "ids": [total]}, schema=_arrow(MANIFEST))
 
     # one row per file comes to the driver
-    made = sorted(tuple(r) for r in narrow.repartitionByRange(files, "id").sortWithinPartitions("id").mapInArrow(write, MANIFEST).collect())
+    dealt = placed.repartitionByRange(files, "id", "place").sortWithinPartitions("id", "place").select("id", "ids")
+    made = sorted(tuple(r) for r in dealt.mapInArrow(write, MANIFEST).collect())
+    free(encoded)
     bases = list(accumulate((m[2] for m in made), initial=0))
     shards = [{"shard": s, "docs": d, "ids": n, "base": b} for (s, d, n), b in zip(made, bases, strict=False)]
     with open(f"{folder}/manifest.json.new", "w") as f:
@@ -86,6 +92,30 @@ def write_token_files(df: DataFrame, folder: str | None = None, *, id_col: str =
     return folder
 
 
+def _dtype(tokenizer: str | None) -> str:
+    return "<u2" if Encoder(tokenizer).vocab_size <= 1 << 16 else "<u4"
+
+
+def encoded_texts(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int | None = 1) -> DataFrame:
+    """Rows (id, ids): the ids of each text and ``end_id`` as little-endian unsigned integers."""
+    narrow = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    dtype = _dtype(tokenizer)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder.of_worker(tokenizer)
+        for batch, text in slices(batches, "text", 4 << 20):
+            ids, ends = encoder.encode(text)
+            if end_id is not None:
+                full = np.full(len(ids) + len(text), end_id, np.uint32)
+                full[np.arange(len(ids)) + np.repeat(np.arange(len(text)), np.diff(ends))] = ids
+                ids, ends = full, ends + np.arange(len(ends))
+            size = np.dtype(dtype).itemsize
+            packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(text), [None, pa.py_buffer((ends * size).astype(np.int64).tobytes()), pa.py_buffer(ids.astype(dtype).tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed.cast(pa.binary())], names=["id", "ids"])
+
+    return narrow.mapInArrow(encode, "id long, ids binary")
+
+
 class TokenShard:
     """One shard, memory-mapped."""
 
@@ -93,7 +123,7 @@ class TokenShard:
         names = _files(folder, shard)
         self.docs = np.memmap(names["docs"], "<i8", "r")
         self.offsets = np.memmap(names["offsets"], "<i8", "r")
-        self.ids = np.memmap(names["ids"], "<" + {"uint16": "u2", "uint32": "u4"}[dtype], "r") if os.path.getsize(names["ids"]) else np.zeros(0, "u4")
+        self.ids = np.memmap(names["ids"], dtype, "r") if os.path.getsize(names["ids"]) else np.zeros(0, "u4")
 
     def __len__(self) -> int:
         return len(self.docs)
