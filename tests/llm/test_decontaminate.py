@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -76,9 +77,10 @@ def test_op3_on_the_table(spark):
         assert tuple(r)[1:] == (n, hits, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hits > 0)
 
 
-@pytest.mark.parametrize("shard", [1, 1 << 19])
-def test_random_texts_and_odd_rows(spark, monkeypatch, shard):
+@pytest.mark.parametrize("shard, part", [(1, 1 << 20), (1 << 19, 1 << 20), (1 << 19, 60)])
+def test_random_texts_and_odd_rows(spark, monkeypatch, shard, part):
     monkeypatch.setattr(decontaminate, "SHARD_SYMBOLS", shard)
+    monkeypatch.setattr(decontaminate, "PART_BYTES", part)
     rng = random.Random(shard)
     text = lambda n: " ".join(rng.choice("aé Bc dd 7 x-y".split()) for _ in range(n))
     items = [(i, text(rng.choice([0, 2, 3, 5, 9]))) for i in range(12)] + [(12, None), (3, "a a a a"), (None, "7 7 7")]
@@ -93,3 +95,24 @@ def test_random_texts_and_odd_rows(spark, monkeypatch, shard):
         spans_of(r.n_hit, [tuple(s) for s in r.spans])
     assert find_contamination(docs.limit(0), bench).count() == 0
     assert find_contamination(docs, bench.limit(0)).where("n_hit > 0").count() == 0
+    clean = decontaminate.drop_contaminated(docs, bench, window=4)
+    assert clean.columns == docs.columns and sorted(map(repr, map(tuple, clean.collect()))) == sorted(repr(r) for r in rows if not expected(r[1], found, 4)[1])
+    assert decontaminate.drop_contaminated(docs.limit(0), bench, window=4).count() == 0
+
+
+def test_a_benchmark_of_common_words(spark):
+    """All words of the texts are in the index here; with the driver's benchmark hardly one in twenty is."""
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    common = [w for w, _ in Counter(w for t in texts for w in words(t)).most_common()]
+    rng = random.Random(1)
+    passage = words(max(texts, key=len))
+    items = [(1, " ".join(common)), (2, " ".join(passage[40:52])), (3, " ".join(passage[100:104]))] + [(k, " ".join(rng.choice(common[:30]) for _ in range(12))) for k in range(4, 200)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    known = decontaminate.Phrases([(str(i), t) for i, t in items])
+    shard = decontaminate._Shard(known)
+    shard.add(pa.array(texts, pa.large_string()))
+    assert shard.size == sum(len(words(t)) for t in texts if len(words(t)) >= known.shortest)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = windows(items, 10)
+    for r in find_contamination(docs, bench).collect():
+        assert (r.n_words, r.n_hit, r["items"]) == expected(texts[r.doc_id], found, 10)

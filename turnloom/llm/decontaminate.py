@@ -6,10 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import ASCII_FOLD, bound_batches, ragged, slices, Words
+from .common import ASCII_FOLD, bound_batches, materialize, ragged, slices, Words
 
 #: Words of a window; a benchmark item of fewer words is one window.
 WINDOW = 10
@@ -18,12 +20,13 @@ SHARD_SYMBOLS = 1 << 19
 SHARD_DOCS = 100_000
 #: Every so many text positions the index keeps the position of a suffix.
 SAMPLE = 8
-#: Bytes of text that a shard of ``drop_contaminated`` holds with its rows.
+#: Bytes of rows that a shard holds until it is indexed.
 HELD_BYTES = 16 << 20
 #: Occurrences located at once.
 LOCATE_BLOCK = 1 << 18
-#: Words that all benchmark items may have: they travel to every task.
-MAX_BENCHMARK_WORDS = 20_000_000
+#: Bytes of benchmark text that are searched for in one pass, about; an item is never cut. So much
+#: comes to the driver and is broadcast at once; a larger benchmark takes several passes.
+PART_BYTES = 2 << 20
 
 _IS_WORD = np.zeros(256, np.int8)
 _IS_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
@@ -118,8 +121,6 @@ class Phrases:
     def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
         items = sorted(((i or "", t or "") for i, t in items))
         found = words_of(pa.array([t for _, t in items], pa.large_string()))
-        if len(found) > MAX_BENCHMARK_WORDS:
-            raise ValueError(f"the benchmark has {len(found)} words; split it into parts of {MAX_BENCHMARK_WORDS}")
         self.names = [i for i, _ in items]
         self.vocabulary, symbols = np.unique(found.hashes, return_inverse=True)
         symbols = symbols + 2  # 0 ends the text of an index, 1 parts passages
@@ -148,7 +149,6 @@ class _Shard:
 
     def __init__(self, phrases: Phrases):
         self.phrases = phrases
-        self.ids: list[pa.Array] = []
         self.n_words: list[np.ndarray] = []
         self.docs = 0
         # passages: symbols, and for each passage its document, first word and size
@@ -156,7 +156,7 @@ class _Shard:
         self.passages: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, ids: pa.Array, text: pa.Array) -> None:
+    def add(self, text: pa.Array) -> None:
         known = self.phrases.vocabulary
         found = words_of(text)
         n = len(found)
@@ -175,16 +175,15 @@ class _Shard:
                 self.symbols.append(at[ragged(begins, stops - begins)] + 2)
                 self.passages.append(np.stack([doc + self.docs, begins - found.offsets[doc], stops - begins], 1))
                 self.size += len(self.symbols[-1])
-        self.ids.append(ids)
         self.n_words.append(np.diff(found.offsets))
         self.docs += len(text)
 
     def contaminated(self) -> np.ndarray:
         """Whether each document has an occurrence."""
-        return self.results(None).column(2).to_numpy() > 0
+        return self.results()["n_hit"].to_numpy() > 0
 
-    def results(self, schema: pa.Schema | None) -> pa.RecordBatch:
-        """Rows (id, n_words, n_hit, items, spans) of all documents, in order."""
+    def results(self) -> pa.RecordBatch:
+        """Rows (n_words, n_hit, items, spans) of all documents, in order."""
         p = self.phrases
         spans_of = spans = items_of = items = np.zeros(0, np.int64)
         ends = spans
@@ -225,14 +224,63 @@ class _Shard:
         names = pa.array([p.names[k] for k in items], pa.string())
         pieces = pa.StructArray.from_arrays([pa.array(spans), pa.array(ends)], names=["start", "end"])
         return pa.RecordBatch.from_arrays([
-            pa.concat_arrays(self.ids), pa.array(np.concatenate(self.n_words).astype(np.int64)), pa.array(n_hit),
+            pa.array(np.concatenate(self.n_words).astype(np.int64)), pa.array(n_hit),
             pa.ListArray.from_arrays(pa.array(item_offsets), names), pa.ListArray.from_arrays(pa.array(span_offsets), pieces),
-        ], schema=schema, names=None if schema else ["id", "n_words", "n_hit", "items", "spans"])
+        ], names=["n_words", "n_hit", "items", "spans"])
 
 
-def collect_phrases(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> Phrases:
-    """The benchmark's windows on the driver; ``Phrases`` refuses more than its bound."""
-    return Phrases([tuple(r) for r in benchmark.select(F.col(item_col).cast("string"), F.col(item_text_col).cast("string")).collect()], window)
+def benchmark_parts(benchmark: DataFrame, item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> Iterator[Broadcast]:
+    """The windows of the benchmark's items, broadcast, in parts of about ``PART_BYTES`` of text.
+
+    The size is counted before anything is collected; items are dealt to the parts by hash.
+    """
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text"))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-size // PART_BYTES))
+    for k in range(parts):
+        rows = items if parts == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == k)
+        yield spark.sparkContext.broadcast(Phrases([tuple(r) for r in rows.collect()], window))
+
+
+def _shards(batches: Iterator[pa.RecordBatch], text_col: str, phrases: Phrases, keep: list[str], limits: tuple[int, int, int]) -> Iterator[tuple[list[pa.RecordBatch], _Shard]]:
+    """Shards with the rows they were made of, bounded by symbols, documents and bytes held."""
+    symbols, docs, most = limits
+    shard, held, size = _Shard(phrases), [], 0
+    for batch, text in slices(batches, text_col, 1 << 20):
+        shard.add(text)
+        held.append(batch.select(keep))
+        size += held[-1].nbytes
+        if shard.size >= symbols or shard.docs >= docs or size >= most:
+            yield held, shard
+            shard, held, size = _Shard(phrases), [], 0
+    if held:
+        yield held, shard
+
+
+def _search(table: DataFrame, part: Broadcast, k: int, keep: list[str]) -> DataFrame:
+    """The columns to keep, with ``items`` and ``spans`` of the k-th part of the benchmark in
+    ``text``, and on the first pass the number of words."""
+    found = T.StructType().add("n_words", "long").add(f"items{k}", T.ArrayType(T.StringType())).add(f"spans{k}", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))).fields[k > 0 :]
+    schema = T.StructType([*(table.schema[c] for c in keep), *found])
+    limits = SHARD_SYMBOLS, SHARD_DOCS, HELD_BYTES
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held, shard in _shards(batches, "text", part.value, keep, limits):
+            result, at = shard.results(), 0
+            for batch in held:
+                own = result.slice(at, batch.num_rows).select(["n_words", "items", "spans"][k > 0 :])
+                at += batch.num_rows
+                yield pa.RecordBatch.from_arrays([*batch.columns, *own.columns], names=schema.names)
+
+    return table.mapInArrow(scan, schema)
+
+
+def _merged(spans: str) -> str:
+    """SQL for sorted spans without overlaps and without ones that touch."""
+    last = "element_at(done, -1)"
+    longer = f"concat(slice(done, 1, size(done) - 1), array(named_struct('start', {last}.start, 'end', greatest({last}.end, s.end))))"
+    return f"aggregate(array_sort({spans}), cast(array() AS array<struct<start:bigint,end:bigint>>), (done, s) -> if(size(done) > 0 AND {last}.end >= s.start, {longer}, concat(done, array(s))))"
 
 
 def find_contamination(df: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -241,57 +289,52 @@ def find_contamination(df: DataFrame, benchmark: DataFrame, *, id_col: str = "do
     Each task indexes its documents shard by shard, finds every window of every benchmark item
     by backward search, locates all occurrences and merges them. Words that no benchmark item has,
     and runs of known words too short for any window, cannot be part of an occurrence and are left
-    out of the index; nothing else is. Nothing is shuffled.
-
-    Null texts have no words and no hits; rows with equal ids are judged alone. Items without
-    words have no windows. The benchmark is collected, up to ``MAX_BENCHMARK_WORDS`` words; more
-    is refused rather than cut. ``items`` are sorted as strings; a null item id is named "".
+    out of the index; nothing else is. Nothing is shuffled. A benchmark of more than ``PART_BYTES``
+    is searched for in several passes, each written to the shared folder.
+
+    Null texts have no words and no hits; long texts are indexed whole, in a shard of their own
+    where they exceed one; rows with equal ids are judged alone. Items without words have no
+    windows; of equal items both are named. ``items`` are sorted as strings; a null item id is
+    named "". An empty table of documents gives an empty one, an empty benchmark no hits. Other
+    columns are not read, whatever their names.
     """
     bound_batches(df.sparkSession)
-    phrases = collect_phrases(benchmark, item_col, item_text_col, window)
-    narrow = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = narrow.schema["id"].dataType.simpleString()
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, schema = _Shard(phrases), None
-        for batch, text in slices(batches, "text", 1 << 20):
-            schema = schema or pa.schema([(id_col, batch.schema.field(0).type), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
-            shard.add(batch.column(0), text)
-            if shard.size >= SHARD_SYMBOLS or shard.docs >= SHARD_DOCS:
-                yield shard.results(schema)
-                shard = _Shard(phrases)
-        if shard.docs:
-            yield shard.results(schema)
-
-    return narrow.mapInArrow(scan, f"`{id_col}` {kind}, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>")
-
+    table = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    parts = list(benchmark_parts(benchmark, item_col, item_text_col, window))
+    for k, part in enumerate(parts):
+        last = k == len(parts) - 1
+        table = _search(table, part, k, [c for c in table.columns if not (last and c == "text")])
+        table = table if last else materialize(table, "contamination")
+    every = range(len(parts))
+    if len(parts) > 1:
+        items = F.array_sort(F.array_distinct(F.concat(*[f"items{k}" for k in every])))
+        spans = F.expr(_merged(f"concat({', '.join(f'spans{k}' for k in every)})"))
+    else:
+        items, spans = F.col("items0"), F.col("spans0")
+    table = table.select("id", "n_words", items.alias("items"), spans.alias("spans"))
+    n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)")
+    return table.select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), "items", "spans")
 
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of ``df`` whose texts hold no window of any benchmark item, all columns kept.
 
     The same search as in ``find_contamination``; rows are held with their shard until it is
-    indexed, so shards are bounded by bytes too, and nothing is joined or shuffled.
+    indexed, and nothing is joined or shuffled. Null and empty texts stay, as do repeated rows
+    without hits; columns of any name pass through; an empty table stays empty.
     """
     bound_batches(df.sparkSession)
-    phrases = collect_phrases(benchmark, item_col, item_text_col, window)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held, size = _Shard(phrases), [], 0
-
-        def clean() -> Iterator[pa.RecordBatch]:
-            keep = ~shard.contaminated()
-            for batch, first in zip(held, np.cumsum([0] + [b.num_rows for b in held]), strict=False):
-                yield batch.filter(pa.array(keep[first : first + batch.num_rows]))
-
-        for batch, text in slices(batches, text_col, 1 << 20):
-            shard.add(pa.nulls(batch.num_rows), text)
-            held.append(batch)
-            size += text.nbytes
-            if size >= HELD_BYTES or shard.size >= SHARD_SYMBOLS:
-                yield from clean()
-                shard, held, size = _Shard(phrases), [], 0
-        if held:
-            yield from clean()
-
-    return df.mapInArrow(scan, df.schema)
+    parts = list(benchmark_parts(benchmark, item_col, item_text_col, window))
+    limits, columns = (SHARD_SYMBOLS, SHARD_DOCS, HELD_BYTES), df.columns
+    for k, part in enumerate(parts):
+
+        def scan(batches: Iterator[pa.RecordBatch], part: Broadcast = part) -> Iterator[pa.RecordBatch]:
+            for held, shard in _shards(batches, text_col, part.value, columns, limits):
+                keep, at = ~shard.contaminated(), 0
+                for batch in held:
+                    yield batch.filter(pa.array(keep[at : at + batch.num_rows]))
+                    at += batch.num_rows
+
+        df = df.mapInArrow(scan, df.schema)
+        df = df if k == len(parts) - 1 else materialize(df, "clean")
+    return df
