@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from turnloom.llm import near_dup, queries
 from turnloom.llm.near_dup import components, near_duplicates, shingle_sets, sketches
@@ -111,6 +112,62 @@ def test_pairs_beside_the_smallest_member_are_found(spark):
     assert sorted(tuple(r) for r in near_duplicates(docs).collect()) == expected(rows)
 
 
+def boilerplate(clusters, members):
+    """Clusters that share 400 words with all others and 48 among themselves: all just below the threshold."""
+    rng = random.Random(clusters)
+    common = [f"c{i}" for i in range(400)]
+    rows = []
+    for cluster in range(clusters):
+        own = [f"k{cluster}_{i}" for i in range(48)]
+        for i in range(members):
+            text = common + own
+            text[rng.randrange(300)] = f"edit{cluster}{i}"
+            rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("members, clusters", [(1, 5_000), (3, 200)])
+def test_pairs_tested_grow_with_the_documents(spark, monkeypatch, members, clusters):
+    tested = []
+    verified = near_dup._verified
+    monkeypatch.setattr(near_dup, "_verified", lambda pairs, *rest: tested.append(pairs.distinct().count()) or verified(pairs, *rest))
+    rows = boilerplate(clusters, members)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
+    assert got == {k: k - k % members for k, _ in rows}
+    assert sum(tested) <= 40 * len(rows)
+
+
+def test_slack_of_components_closes_no_similar_pair(spark, monkeypatch):
+    """With a star step that finds nothing, step 4 finds all links that share a table by itself."""
+    empty = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(near_dup, "_stars", lambda able, similarity: empty)
+    rng = random.Random(9)
+    rows = []
+    for base in range(12):
+        words = [f"w{base % 4}_{i}" for i in range(150)] + [f"own{base}_{i}" for i in range(rng.choice([5, 15, 30]))]
+        for _ in range(8):
+            copy = list(words)
+            for _ in range(rng.randint(0, 3)):
+                copy[rng.randrange(len(copy))] = f"e{rng.random()}"
+            rows.append((len(rows), " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in near_duplicates(docs).collect()) == expected(rows)
+
+
+def test_dropped_rows_and_clashing_names(spark):
+    rows = [(1, "a b c d e f g h", "x", 1), (2, "A b c d e f g h", "y", 2), (3, None, "z", 3), (None, "a b c d e f g h", "n", 4), (4, "long words " * 60_000, "l", 5), (5, "Long words " * 60_000, "l", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone string, `row` int").withColumn("__gone", docs_map())
+    got = near_dup.drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    assert sorted((r["row"] for r in got.collect())) == [1, 3, 4, 5]
+    assert near_dup.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+def docs_map():
+    return F.create_map(F.lit("k"), F.lit(1))
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (202, 201), (300, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

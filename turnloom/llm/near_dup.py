@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_FOLD, bound_batches, materialize, slices, Words
+from .common import ASCII_FOLD, bound_batches, free, materialize, slices, Words
 
 #: Words of a shingle.
 SHINGLE = 5
@@ -184,13 +184,15 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
        too many shingles of its own to reach the similarity with any other is linked with none.
     3. Table keys pair the half keys. In every table a class is compared with the smallest one of
        its bucket, on whole sets. Components of these links are found.
-    4. Where classes of one bucket still lie in different components, all remaining pairs that
-       their sizes, own shingles and overlap with one class of the bucket allow are compared. So no pair that shares a table goes
-       untested unless it is already connected or its similarity is provably too low.
+    4. Of tables that still span several components, the pairs across them are compared which
+       their sizes and the shingles that only one component has allow. So no pair that shares a
+       table goes untested unless it is already connected or its similarity is provably too low.
 
     Ids should be unique and are whole numbers; repeated rows share a component and are all kept
     or not. Rows without words, null texts among them, are components of their own. A row with a
-    null id belongs to the component of its copies, and is kept only if it has none.
+    null id belongs to the component of its copies, and is kept only if it has none. Long texts
+    are read whole: a set is one row. An empty table gives an empty one. Other columns are not
+    read, whatever their names.
     """
     bound_batches(df.sparkSession)
     rows = materialize(sketch_documents(df, id_col, text_col, shingle), "near-sketches")
@@ -200,17 +202,20 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     sets = materialize(_shingles_of(df, colliding.select("rep"), id_col, text_col, shingle), "near-sets")
     able = colliding.join(_alone(sets), "rep", "left").withColumn("u", F.coalesce("u", F.lit(0)))
     able = materialize(able.where(100 * (F.col("n") - F.col("u")) >= similarity * F.col("n")), "near-able", small=True)
+    free(colliding)
 
     links = materialize(_verified(_stars(able, similarity), sets, similarity), "near-links", small=True)
     found = components(links)
-    more = _verified(_remaining(able, found, sets, similarity), sets, similarity)
-    more = materialize(more, "near-more", small=True)
-    if more.limit(1).count():
-        found = components(links.unionByName(more))
+    pairs = materialize(_across(able, found, sets, similarity), "near-across", small=True)
+    if pairs.limit(1).count():
+        more = materialize(_verified(pairs, sets, similarity), "near-more", small=True)
+        if more.limit(1).count():
+            found = components(links.unionByName(more))
     roots = found.withColumnRenamed("node", "rep")
 
     members = classes.join(roots, "rep", "left").select("w1", "w2", "n", F.coalesce("root", "rep").alias("component"))
     members = materialize(members, "near-members", small=True)
+    free(classes, sets, able, links, pairs)
     out = rows.select("id", "n", "w1", "w2").where("n > 0").join(members, ["w1", "w2", "n"], "left").select("id", "n", "component")
     empty = rows.where("n = 0").select("id", "n", F.col("id").alias("component"))
     both = out.unionByName(empty)
@@ -221,12 +226,15 @@ def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str
     """``df`` with one row of each component, the one of the smallest id, all columns kept.
 
     Only the ids to drop are joined, broadcast up to ``BROADCAST_IDS`` of them, else by shuffle.
-    Rows with a null id cannot be named and stay; so do all rows that share a kept id.
+    Rows with a null id cannot be named and stay; so do all rows that share a kept id. Rows without
+    words stay; an empty table stays empty; columns of any name pass through.
     """
     found = near_duplicates(df, id_col=id_col, text_col=text_col, shingle=shingle, similarity=similarity)
-    gone = materialize(found.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__gone")).distinct(), "near-gone", small=True)
+    gone = materialize(found.where(~F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("gone")).distinct(), "near-gone", small=True)
     few = gone.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    # the columns travel as one, so that none can clash with the ids
+    whole = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    return whole.join(F.broadcast(gone) if few else gone, F.col("row")[id_col].cast("long") == F.col("gone"), "left_anti").select("row.*")
 
 
 def _stars(able: DataFrame, similarity: int) -> DataFrame:
@@ -241,25 +249,43 @@ def _stars(able: DataFrame, similarity: int) -> DataFrame:
     return tables.join(first, (tables.t == first.t) & (F.col("rep") != F.col("a")) & fits).select("a", F.col("rep").alias("b")).distinct()
 
 
-def _remaining(able: DataFrame, found: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of classes that share a half key of the first collection, lie in different
-    components and may still be similar enough; each pair once, at its first shared key."""
-    lists = able.select("rep", "n", "u", F.map_from_entries(F.filter("keys", lambda k: k["place"] < HALF)).alias("own"))
-    lists = lists.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    each = materialize(lists.select("rep", "n", "u", "root", "own", F.explode("own").alias("place", "key")), "near-halves", small=True)
-    mixed_keys = each.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.min("rep").alias("pivot")).where("x <> y").select("key", "pivot")
-    left = materialize(each.join(materialize(mixed_keys, "near-mixed", small=True), "key"), "near-open", small=True)
-    # what each class has in common with the smallest one of its key bounds what two have in common
-    near = _common(left.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), sets)
-    near = materialize(near.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "common"), "near-pivots", small=True)
-    left = materialize(left.join(near, ["pivot", "rep"]), "near-sides", small=True)
-    right = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "u", "root", "own", "common")])
-    earlier = F.exists(F.sequence(F.lit(0), F.lit(HALF - 1)), lambda i: (i < F.col("place")) & (F.try_element_at("own", i) == F.try_element_at("own2", i)))
-    most = _most_common(F.col("n"), F.col("u"), F.col("n2"), F.col("u2"))
-    # inside the pivot, and outside it, where neither's own shingles count
-    outside = F.least(F.col("n") - F.col("common") - F.col("u"), F.col("n2") - F.col("common2") - F.col("u2"))
-    most = F.least(most, F.least("common", "common2") + F.greatest(outside, F.lit(0)))
+def _own(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (rep, v): how many shingles of each of ``classes`` (rep, root) no class of another
+    component among them has."""
+    each = classes.join(sets, "rep").select("rep", "root", F.explode("shingles").alias("s"))
+    one = each.groupBy("s").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x = y").select("s")
+    return each.join(one, "s", "left_semi").groupBy("rep").agg(F.count("*").alias("v"))
+
+
+def _across(able: DataFrame, found: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of classes in different components that share a table and may be similar enough.
+
+    Tables that have the first half key in common are walked together: a pair meets at its first
+    shared key of the first collection and needs one of the second as well. What two classes share
+    are at most the shingles that neither's component has to itself, n - v and m - w of them; so
+    their similarity reaches k hundredths only if (100 - k)(n + m) >= (100 + k)(v + w). The slack
+    of a class is its own share of this. Of any pair one class has no negative slack, so a key all
+    of whose classes have it is closed, and in others only classes without it look for partners.
+    """
+    def keys(side: Callable[[Column], Column]) -> Column:
+        return F.transform(F.array_sort(F.filter("keys", side)), lambda k: k["key"])
+
+    halves = able.select("rep", "n", keys(lambda k: k["place"] < HALF).alias("own"), keys(lambda k: k["place"] >= HALF).alias("others"))
+    halves = halves.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    each = halves.select("rep", "n", "root", "own", "others", F.explode("own").alias("key"))
+    spans = each.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+    left = materialize(each.join(materialize(spans, "near-open", small=True), "key", "left_semi"), "near-halves", small=True)
+    own = materialize(_own(left.select("rep", "root").distinct(), sets), "near-own", small=True)
+    slack = (100 - similarity) * F.col("n") - (100 + similarity) * F.col("v")
+    left = left.join(own, "rep", "left").withColumn("v", F.coalesce("v", F.lit(0))).withColumn("slack", slack)
+    left = materialize(left, "near-sides", small=True)
+    top = left.groupBy("key").agg(F.max("slack").alias("top")).where("top >= 0")
+    left = left.join(top, "key").where("slack + top >= 0").drop("top")
+    right = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "v", "root", "own", "others", "slack")])
+    most = _most_common(F.col("n"), F.col("v"), F.col("n2"), F.col("v2"))
     fits = 100 * most >= similarity * (F.col("n") + F.col("n2") - most)
-    pair = (F.col("rep") < F.col("rep2")) & (F.col("root") != F.col("root2")) & fits & ~F.coalesce(earlier, F.lit(False))
-    a, b = left.alias("a"), right.alias("b")
+    once = (F.col("slack2") < 0) | (F.col("rep") < F.col("rep2"))
+    table = F.arrays_overlap("others", "others2") & (F.get(F.array_intersect("own", "own2"), F.lit(0)) == F.col("a.key"))
+    a, b = left.where("slack >= 0").alias("a"), right.alias("b")
+    pair = (F.col("root") != F.col("root2")) & (F.col("slack") + F.col("slack2") >= 0) & once & fits & table
     return a.join(b, (F.col("a.key") == F.col("b.key")) & pair).select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
