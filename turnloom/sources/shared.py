@@ -66,6 +66,20 @@ def materialize(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     return back
 
 
+def scratch_mark() -> int:
+    """A point in time for ``free_since``."""
+    return len(_scratch)
+
+
+def free_since(mark: int, *keep: DataFrame) -> None:
+    """Delete the intermediate tables written since ``mark``, but for those to keep: for a stage
+    whose result is stored, when nothing else of the session was begun meanwhile."""
+    kept = {table._scratch_path for table in keep}
+    for entry in [e for e in _scratch[mark:] if e[1] not in kept]:
+        _scratch.remove(entry)
+        _delete(*entry)
+
+
 def free(*tables: DataFrame) -> None:
     """Delete tables that ``materialize`` wrote and that nothing will read again."""
     for table in tables:
