@@ -47,8 +47,10 @@ def test_failed_chunks_leave_errors(spark):
 
 
 def test_prompt():
-    prompt = extract.extraction_prompt("lines", [{"name": "role", "type": "String", "description": "who"}, {"name": "d", "type": "String", "description": "what"}], "EX")
-    assert "role: String // who,\n    d: String // what" in prompt and prompt.endswith("EX\n")
+    attributes = [{"name": "role", "type": "String", "description": "who"}, {"name": "d", "type": "String", "description": "what"}]
+    prompt = extract.extraction_prompt("lines", attributes, "EX")
+    assert "script: Array<Dict( // lines\n    role: String // who,\n    d: String // what\n    )>" in prompt and prompt.endswith("Output:\nEX\n")
+    assert extract.extraction_prompt("lines", attributes, "EX", "own {schema}|{example}", "{task}: {attributes}").startswith("own lines: role")
 
 
 def test_batch_rewrite(spark):
@@ -56,7 +58,7 @@ def test_batch_rewrite(spark):
     df = spark.createDataFrame(samples, "pos long, conversations array<struct<from:string,value:string>>")
     prompts = extract.rewrite_prompts(df, "甲", "P", 2).orderBy("batch").collect()
     assert [p.ids for p in prompts] == [[0, 1], [2, 3], [4]]
-    assert "--- id=1 ---\nContext:\nctx1\n甲 says: line1\n" in prompts[0].prompt
+    assert "--- id=1 ---\n上下文：\nctx1\n甲原台词：line1\n" in prompts[0].prompt
     replies = spark.createDataFrame([([0, 1], '[{"id": 1, "user": " u ", "role": "r"}, {"id": 77, "user": "x", "role": "y"}]'), ([2, 3], "broken"), ([4], None)], "ids array<long>, response string")
     found, missing = extract.match_rewrites(replies, ("user", "role"))
     assert [tuple(r) for r in found.collect()] == [(1, " u ", "r")] and sorted(r.pos for r in missing.collect()) == [0, 2, 3, 4]

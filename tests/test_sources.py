@@ -1,10 +1,11 @@
 import json
+import tarfile
 
 import pytest
 
 from turnloom import config
 from turnloom.schemas import SAMPLE
-from turnloom.sources import files
+from turnloom.sources import archives, files, shared
 
 
 def test_text(spark, tmp_path):
@@ -88,3 +89,74 @@ def test_platforms():
     with pytest.raises(ValueError):
         config.resolve_platform("other", {})
     assert len(config.setting_errors(50, 50, 3.0, "openai", {})) == 3 and config.setting_errors(500, 50, 0.6) == []
+
+
+def test_archives(tmp_path):
+    folder = tmp_path / "adapter"
+    (folder / "sub").mkdir(parents=True)
+    (folder / "a.json").write_text("{}")
+    (folder / "sub" / "b").write_text("b")
+    path = str(tmp_path / "a.tar.gz")
+    assert archives.pack_folder(str(folder), path) == ["a.json", "sub"]
+    out = archives.unpack_folder(path, str(tmp_path / "out"))
+    assert open(f"{out}/sub/b").read() == "b"
+    assert archives.pack_folder(str(folder), path, ["missing", "a.json"], "top") == ["a.json"]
+    assert archives.unpack_folder(path, str(tmp_path / "two")).endswith("two/top")
+    for names in (["../x"], ["top/../../x"], ["/abs/x"], ["one/x", "two/x"]):
+        with tarfile.open(path, "w:gz") as tar:
+            for name in names:
+                tar.addfile(tarfile.TarInfo(name))
+        with pytest.raises(ValueError):
+            archives.unpack_folder(path, str(tmp_path / "bad"))
+    with tarfile.open(path, "w:gz") as tar:
+        link = tarfile.TarInfo("top/link")
+        link.type, link.linkname = tarfile.SYMTYPE, "/etc"
+        tar.addfile(link)
+    with pytest.raises(ValueError):
+        archives.unpack_folder(path, str(tmp_path / "bad"))
+    assert not (tmp_path / "bad").exists() and not (tmp_path / "x").exists()
+
+
+def test_shared_folder_is_refused_on_clusters():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        shared.shared_dir(Session())
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError):
+        shared.shared_dir(Session())
+    Context.master = "local[4]"
+    assert shared.shared_dir(Session()).startswith("file:///")
+
+
+def test_scratch_tables_are_freed(spark):
+    mark = shared.scratch_mark()
+    one, two = (shared.materialize(spark.range(3), n) for n in ("one", "two"))
+    shared.free(one)
+    shared.free(one)
+    assert two.count() == 3
+    shared.free_since(mark, two)
+    assert two.count() == 3 and shared.scratch_mark() == mark + 1
+    shared.free_since(mark)
+    assert shared.scratch_mark() == mark
+
+
+def test_training_file(tmp_path):
+    (tmp_path / "n.txt").write_text("x")
+    (tmp_path / "c.toml").write_text('novel_txt = "n.txt"\ntarget_role = "R"\nrun_name = "r"\nlora_rank = 8\nlearning_rate = 0.0001\nother_key = 1\ndialect = "script"\n')
+    values = config.training_values(config.load_settings(str(tmp_path / "c.toml")), "org/m", "qwen3", "r_train")
+    assert values["lora_rank"] == 8 and values["learning_rate"] == 0.0001 and "other_key" not in values and values["finetuning_type"] == "lora"
+    (tmp_path / "c.toml").write_text('novel_txt = "n.txt"\ntarget_role = "R"\nrun_name = "r"\ndialect = "x"\n')
+    with pytest.raises(ValueError):
+        config.load_settings(str(tmp_path / "c.toml"))

@@ -43,7 +43,8 @@ def test_prompts(spark):
     assert got == ["S\n\n用户：u1\nR：a1\nR：a2\n用户：u3\n用户：m\nR：", "S\n\n用户：n\nR："]
     got = [[tuple(x) for x in r[0]] for r in df.select(text.chat_messages(F.lit("S"), F.col("h"), F.col("m"))).collect()]
     assert got[1] == [("system", "S"), ("user", "n")] and got[0][-1] == ("user", "m") and len(got[0]) == 8
-    assert text.role_system_prompt("R", "", "m") == "你正在扮演《》中的R。m" and text.role_system_prompt("R", "", "m", False) == "你正在扮演R。m"
+    assert text.role_system_prompt("R", "", "{where}{role}。m") == "《》中的R。m" and text.role_system_prompt("R", "", "{where}{role}。m", False) == "R。m"
+    assert text.role_system_prompt("R", "T") == "你正在扮演《T》中的R。严格保持R的语气、性格、说话习惯和价值观，根据对话上下文自然回应，不要跳出角色，不要续写其他角色的发言。"
 
 
 def test_small_scalars(spark):
@@ -83,3 +84,16 @@ def test_rewrites(spark, reply, want):
     df = spark.createDataFrame([(reply,)], "x string")
     got = df.select(replies.rewrite_entries(F.col("x"), ("user", "role")).alias("m")).first().m or {}
     assert {k: tuple(v) for k, v in got.items()} == want
+
+
+def test_streamed_replies_are_cut_as_they_grow(spark):
+    parts = ["Well", ", yes", ".\n", "用户", "：more", " text"]
+    shown = list(text.clean_stream(parts, text.stop_cut))
+    assert shown == ["Well", "Well, yes", "Well, yes.", "Well, yes.", "Well, yes.", "Well, yes."]
+    whole = spark.createDataFrame([("".join(parts),)], "t string").select(text.stop_truncate(F.col("t"))).first()[0]
+    assert shown[-1] == whole
+
+
+def test_yaml_text():
+    values = {"model": "org/name-9B", "rate": 2e-4, "steps": 3, "flag": True, "none": None, "odd": "a: b", "word": "yes", "list": ["x", "y z"], "empty": [], "人": "名"}
+    assert text.yaml_text(values) == 'model: org/name-9B\nrate: 0.0002\nsteps: 3\nflag: true\nnone: null\nodd: "a: b"\nword: "yes"\nlist:\n- x\n- "y z"\nempty: []\n人: "名"\n'

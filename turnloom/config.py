@@ -8,7 +8,8 @@ from dataclasses import dataclass, field, fields
 from pathlib import Path
 from typing import Any
 
-from .operators.conversation import parse_aliases
+from .operators.chunker import Counter, count_characters, tokenizer_counter
+from .operators.conversation import DIALECTS, parse_aliases
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,9 @@ class Settings:
     max_conversations: int = 0
     seed: int = 42
     temperature: float = 0.6
+    tokenizer: str = ""  # a file of the tokenizers library; chunk budgets count characters without it
+    dialect: str = "pipeline"  # or "script"
+    save_chunk_text: bool = False
     other: Mapping[str, Any] = field(default_factory=dict)
 
     @property
@@ -53,6 +57,11 @@ class Settings:
     def path(self, *parts: str) -> str:
         return str(Path(self.base_dir, *parts))
 
+    @property
+    def counter(self) -> Counter:
+        """What chunk budgets count: tokens of the tokenizer's file, else characters."""
+        return tokenizer_counter(self.tokenizer) if self.tokenizer else count_characters
+
     @property
     def raw_lines(self) -> str:
         return self.path("data", "raw", f"{self.run_name}_dialogues.jsonl")
@@ -75,7 +84,12 @@ def load_settings(path: str, make_folders: bool = False) -> Settings:
     known.setdefault("base_dir", str(Path(path).resolve().parent))
     novel = Path(known["novel_txt"])
     known["novel_txt"] = str(novel if novel.is_absolute() else Path(known["base_dir"]) / novel)
+    if known.get("tokenizer"):
+        file = Path(known["tokenizer"])
+        known["tokenizer"] = str(file if file.is_absolute() else Path(known["base_dir"]) / file)
     settings = Settings(**known, other={k: v for k, v in found.items() if k not in names})
+    if settings.dialect not in DIALECTS:
+        raise ValueError(f"dialect must be one of {', '.join(DIALECTS)}")
     if not settings.aliases:
         raise ValueError("target_role is empty")
     if not Path(settings.novel_txt).exists():
@@ -129,3 +143,16 @@ def setting_errors(max_tokens: int, overlap_tokens: int, temperature: float, pla
     if not 0 <= temperature <= 2:
         errors.append("the temperature must lie between 0 and 2")
     return errors
+
+
+# The keys of a training file that settings carry under the same name, and those
+# that are the same in every run.
+TRAINING_KEYS = ("lora_rank", "lora_alpha", "lora_dropout", "num_train_epochs", "per_device_train_batch_size", "gradient_accumulation_steps", "learning_rate", "warmup_ratio", "lr_scheduler_type", "cutoff_len", "logging_steps", "save_steps", "eval_steps", "gradient_checkpointing")
+TRAINING_CONSTANTS = {"finetuning_type": "lora", "lora_target": "all", "evaluation_strategy": "steps", "save_strategy": "steps", "load_best_model_at_end": True, "bf16": True, "optim": "adamw_torch", "report_to": "none"}
+
+
+def training_values(settings: Settings, model: str, template: str, dataset: str) -> dict[str, Any]:
+    """What a trainer's YAML file says about a run: its model, data, and the settings it carries."""
+    where = {"model_name_or_path": model, "template": template, "dataset": dataset, "dataset_dir": settings.path("data"), "output_dir": settings.path("outputs", settings.run_name)}
+    carried = {k: settings.other[k] for k in TRAINING_KEYS if k in settings.other}
+    return where | carried | TRAINING_CONSTANTS

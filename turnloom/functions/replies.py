@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .text import strip
 
+# Fixed value: how replies fence their JSON.
 _FENCE = r"(?s)```(?:json|JSON)?\s*(.*?)\s*```"
 
 

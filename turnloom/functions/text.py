@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,15 +95,22 @@ def chat_messages(system: Column, history: Column, message: Column) -> Column:
     return F.concat(F.array(say("system", system)), past, F.array(say("user", message)))
 
 
-def role_system_prompt(role: str, title: str = "", manner: str = "保持人物的语气与性格，根据对话上下文自然回应。", always_title: bool = True) -> str:
+# The system sentence of samples; the title phrase stands before the role.
+TITLE_PHRASE = "《{title}》中的"
+SYSTEM_SENTENCE = "你正在扮演{where}{role}。严格保持{role}的语气、性格、说话习惯和价值观，根据对话上下文自然回应，不要跳出角色，不要续写其他角色的发言。"
+
+
+def role_system_prompt(role: str, title: str = "", sentence: str = SYSTEM_SENTENCE, always_title: bool = True) -> str:
     """The system sentence of samples; ``always_title`` keeps the title phrase even if empty."""
-    where = f"《{title}》中的" if title or always_title else ""
-    return f"你正在扮演{where}{role}。{manner}"
+    where = TITLE_PHRASE.replace("{title}", title) if title or always_title else ""
+    return sentence.replace("{where}", where).replace("{role}", role)
 
 
 def checkpoint_number(path: Column) -> Column:
     """The number at the end of ``checkpoint-N``, else -1."""
-    return F.coalesce(F.regexp_extract(path, r"checkpoint-(\d+)\z", 1).try_cast("long"), F.lit(-1).cast("long"))
+    tail = F.substring_index(path, "checkpoint-", -1)
+    digits = path.contains("checkpoint-") & (tail != "") & (F.translate(tail, "0123456789", "") == "")
+    return F.coalesce(F.when(digits, tail.try_cast("long")), F.lit(-1).cast("long"))
 
 
 def model_folder(model: Column) -> Column:
@@ -109,15 +118,14 @@ def model_folder(model: Column) -> Column:
     return F.replace(model, F.lit("."), F.lit("___"))
 
 
-def template_for_model(model: Column) -> Column:
-    """The chat template of a model family; the first fitting rule decides."""
-    low = F.lower(model)
-    return (
-        F.when(low.contains("qwen3.5") | low.contains("qwen3___5"), "qwen3_5")
-        .when(low.contains("qwen3.6") | low.contains("qwen3___6"), "qwen3_6")
-        .when(low.contains("qwen3"), "qwen3")
-        .otherwise("qwen")
-    )
+# Chat templates by what a model's name holds, the first that fits, and the rest.
+TEMPLATES = (("qwen3.5", "qwen3_5"), ("qwen3___5", "qwen3_5"), ("qwen3.6", "qwen3_6"), ("qwen3___6", "qwen3_6"), ("qwen3", "qwen3"))
+OTHER_TEMPLATE = "qwen"
+
+
+def template_for_model(model: Column, templates: tuple[tuple[str, str], ...] = TEMPLATES, other: str = OTHER_TEMPLATE) -> Column:
+    """The chat template of a model family; the first fitting entry of the table decides."""
+    return F.coalesce(*[F.when(F.lower(model).contains(part), name) for part, name in templates], F.lit(other))
 
 
 def replace_yaml_value(text: str, key: str, value: object) -> str:
@@ -127,3 +135,36 @@ def replace_yaml_value(text: str, key: str, value: object) -> str:
     hits = [line.startswith(f"{key}:") for line in lines]
     out = [new if hit else line for line, hit in zip(lines, hits, strict=True)]
     return "\n".join(out if any(hits) else [*out, new]) + "\n"
+
+
+def yaml_text(values: Mapping[str, object]) -> str:
+    """A flat YAML file of scalars and lists of scalars, as trainers read it, in the given order."""
+
+    def scalar(value: object) -> str:
+        if value is None:
+            return "null"
+        if isinstance(value, bool):
+            return str(value).lower()
+        if isinstance(value, int | float):
+            return repr(value)
+        plain = re.fullmatch(r"[A-Za-z_/.][\w/.+-]*", str(value)) and str(value).lower() not in ("null", "true", "false", "yes", "no", "on", "off")
+        return str(value) if plain else json.dumps(str(value), ensure_ascii=False)
+
+    lines = []
+    for key, value in values.items():
+        lines += [f"{key}:", *(f"- {scalar(v)}" for v in value)] if isinstance(value, list | tuple) and value else [f"{key}: {'[]' if isinstance(value, list | tuple) else scalar(value)}"]
+    return "\n".join(lines) + "\n"
+
+
+def clean_stream(parts: Iterable[str], clean: Callable[[str], str]) -> Iterator[str]:
+    """What a chat shows while a reply arrives: the cleaned text so far, after each new part."""
+    said = ""
+    for part in parts:
+        said += part
+        yield clean(said)
+
+
+def stop_cut(reply: str, stops: tuple[str, ...] = STOP_STRINGS) -> str:
+    """``stop_truncate`` for one text in the driver, as ``clean_stream`` needs it."""
+    ends = [at for at in (reply.find(s) for s in stops) if at >= 0]
+    return (reply[: min(ends)] if ends else reply).strip()

@@ -16,10 +16,12 @@ class Dialect:
 
     speaker_sep: str = ": "
     id_sep: str = "_"
+    always_title: bool = True  # the system sentence keeps its title phrase without a title
 
 
 PIPELINE = Dialect()
-SCRIPT = Dialect("：", "-")
+SCRIPT = Dialect("：", "-", always_title=False)
+DIALECTS = {"pipeline": PIPELINE, "script": SCRIPT}
 
 
 def parse_aliases(text: str) -> list[str]:

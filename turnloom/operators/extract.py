@@ -21,10 +21,42 @@ Model = Callable[[str, str], str]
 ATTEMPTS = 3
 BATCH_ATTEMPTS = 4
 
-#: Wording of the rewriter's prompts.
-REWRITE_LEAD = "Rewrite each sample below and reply with a JSON list that has one object for each id.\n"
-CONTEXT_LABEL = "Context:"
-LINE_LABEL = " says: "
+# The extraction prompt. {schema} and {example} are filled in; the input follows as
+# the user's message.
+EXTRACT_TEMPLATE = """
+Your goal is to extract structured information from the user's input that matches the form described below. When extracting information please make sure it matches the type information exactly. Do not add any attributes that do not appear in the schema shown below.
+{schema}
+Please output the extracted information in JSON format. 
+
+Do NOT add any clarifying information. Output MUST follow the schema above. Do NOT add any additional columns that do not appear in the schema.
+
+Input: 
+{input}
+Output:
+{example}
+"""
+SCHEMA_TEMPLATE = """
+```TypeScript
+    script: Array<Dict( // {task}
+    {attributes}
+    )>
+```
+"""
+
+# The rewriter's prompts; {role} speaks, {field} is the name of its part of a reply.
+REWRITE_LEAD = "请处理以下样本，返回与输入数量、id 一一对应的 JSON 数组：\n"
+CONTEXT_LABEL = "上下文："
+LINE_LABEL = "原台词："
+REWRITE_SYSTEM = (
+    "你是一个 SFT 数据标注员。任务：把小说对话改造成高质量聊天训练数据。\n"
+    "你会收到多条样本，每条有 id、上下文、{role}原台词。\n"
+    "为每条生成一个用户问题（自然口语，不要书面，不要提'小说片段'）和{role}的回答（30~200 字，{manner}，基于原台词扩展，不加原创设定）。\n"
+    "严格只输出一个 JSON 数组，不要 markdown 代码块，不要任何前后说明文字。\n"
+    '格式：[{"id": 原样本id, "user": "...", "{field}": "..."}, ...]\n'
+    "数组里的条目数必须和输入完全一致，id 必须原样返回。"
+)
+SINGLE_SYSTEM = "你是 SFT 数据标注员。生成一个用户问题（口语自然）和{role}的回答（30~200 字，{manner}）。严格只输出 JSON 对象，不要 markdown。"
+SINGLE_LEAD = '严格只输出 JSON：{"user": "...", "{field}": "..."}'
 
 
 def linear_pause(attempt: int, error: Exception) -> float:
@@ -81,11 +113,14 @@ def call_model(rows: DataFrame, make_model: Callable[[], Model], system: str, pr
     return rows.mapInArrow(ask, schema)
 
 
-def extraction_prompt(task: str, attributes: list[dict[str, str]], example: str = "") -> str:
-    """The system prompt that asks for a list of records with the given attributes."""
+def extraction_prompt(task: str, attributes: list[dict[str, str]], example: str = "", template: str = EXTRACT_TEMPLATE, schema: str = SCHEMA_TEMPLATE) -> str:
+    """The system prompt that asks for a list of records with the given attributes.
+
+    ``example`` shows what to put out; the input is the user's message and left empty here.
+    """
     fields = ",\n    ".join(f"{a['name']}: {a['type']} // {a['description']}" for a in attributes)
-    shape = f"script: Array<Dict( // {task}\n    {fields}\n)>"
-    return f"Extract the records below from the input and reply with a JSON list only.\n\n{shape}\n" + (f"\nExample:\n{example}\n" if example else "")
+    shape = schema.replace("{task}", task).replace("{attributes}", fields)
+    return template.replace("{schema}", shape).replace("{example}", example).replace("{input}", "")
 
 
 def extract_lines(replies: DataFrame, index: str = "raw", chunk_text: bool = False) -> DataFrame:
@@ -100,17 +135,24 @@ def extract_lines(replies: DataFrame, index: str = "raw", chunk_text: bool = Fal
     return dedup_lines(lines, index)
 
 
-def rewrite_prompts(samples: DataFrame, speaker: str, preamble: str, size: int = 10, lead: str = REWRITE_LEAD, context_label: str = CONTEXT_LABEL, line_label: str = LINE_LABEL) -> DataFrame:
+def rewrite_prompts(samples: DataFrame, speaker: str, preamble: str, size: int = 10, lead: str = REWRITE_LEAD, context_label: str = CONTEXT_LABEL, line_label: str = LINE_LABEL, place: str = "pos") -> DataFrame:
     """One prompt for each batch: rows (batch, ids, prompt) from single-turn samples with ``pos``.
 
-    ``samples`` has ``pos`` and ``conversations`` of a context and a line.
+    ``samples`` has ``pos`` and ``conversations`` of a context and a line; ``place`` names the
+    column whose tens, or ``size``s, make the batches.
     """
-    parts = samples.select("pos", F.floor(F.col("pos") / size).alias("batch"), clean_context(F.element_at("conversations", 1)["value"], speaker, preamble).alias("context"), F.element_at("conversations", 2)["value"].alias("line"))
+    parts = samples.select("pos", F.floor(F.col(place) / size).alias("batch"), clean_context(F.element_at("conversations", 1)["value"], speaker, preamble).alias("context"), F.element_at("conversations", 2)["value"].alias("line"))
     text = F.concat_ws("\n", F.concat(F.lit("--- id="), F.col("pos").cast("string"), F.lit(" ---")), F.concat(F.lit(context_label + "\n"), F.col("context")), F.concat(F.lit(f"{speaker}{line_label}"), F.col("line"), F.lit("\n")))
     grouped = parts.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("pos", text.alias("text")))).alias("items"))
     return grouped.select("batch", F.transform("items", lambda x: x["pos"]).alias("ids"), F.array_join(F.concat(F.array(F.lit(lead)), F.transform("items", lambda x: x["text"])), "\n").alias("prompt"))
 
 
+def single_prompts(samples: DataFrame, speaker: str, preamble: str, field: str, context_label: str = CONTEXT_LABEL, line_label: str = LINE_LABEL, lead: str = SINGLE_LEAD) -> DataFrame:
+    """One prompt for each sample: rows (pos, prompt), for those that a batch left out."""
+    context = clean_context(F.element_at("conversations", 1)["value"], speaker, preamble)
+    return samples.select("pos", F.concat(F.lit(context_label + "\n"), context, F.lit(f"\n\n{speaker}{line_label}"), F.element_at("conversations", 2)["value"], F.lit("\n\n" + lead.replace("{field}", field))).alias("prompt"))
+
+
 def match_rewrites(replies: DataFrame, fields: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
     """From batch replies (ids, response): rows (pos, fields...), and the positions without one.
 

@@ -87,8 +87,8 @@ def assign_batches(items: DataFrame, size: int, order: str) -> DataFrame:
     return number_rows(items, order).withColumn("batch", F.floor(F.col("pos") / size))
 
 
-def number_rows(df: DataFrame, *order: str) -> DataFrame:
-    """Adds ``pos``: 0, 1, ... in the order of the given columns, which should be unique.
+def number_rows(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
+    """Adds ``pos``, or another name: 0, 1, ... in the order of the given columns, which should be unique.
 
     Ranges of the order are numbered inside their partitions; one count for each partition comes
     to the driver and gives the bases.
@@ -106,4 +106,4 @@ def number_rows(df: DataFrame, *order: str) -> DataFrame:
         total += n
     table = F.broadcast(df.sparkSession.createDataFrame(bases, "_p long, _base long"))
     placed = ranged.join(table, part == F.col("_p"))
-    return placed.withColumn("pos", F.col("_base") + F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id", "_p", "_base")
+    return placed.withColumn(name, F.col("_base") + F.col("_id").bitwiseAND((1 << 33) - 1)).drop("_id", "_p", "_base")

@@ -7,6 +7,7 @@ import random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import materialize
 from .lines import number_rows
 
 #: Rows that the exact mode permutes on the driver at most.
@@ -20,31 +21,41 @@ def rank_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}-"), F.col(id_col).cast("string")))
 
 
-def _first_by_rank(df: DataFrame, id_col: str, seed: int, n: int) -> Column:
-    """The condition that holds for exactly the n rows of lowest rank.
+class Ranks:
+    """Counts of a table's rows by rank; the condition that holds for the n rows of lowest rank.
 
-    Counts of at most 16**PREFIX buckets come to the driver; only the bucket that holds the
-    border is sorted. The result is a plain filter: no global sort, no single task, no join.
+    Counts of at most 16**PREFIX buckets come to the driver; only the bucket that holds the border
+    is sorted. The result is a plain filter: no global sort, no single task, no join.
     """
-    key = rank_key(id_col, seed)
-    if n <= 0:
-        return F.lit(False)
-    ranked = df.select(key.alias("k"), F.col(id_col).cast("string").alias("i"))
-    counts = sorted((r[0], r[1]) for r in ranked.groupBy(F.substring("k", 1, PREFIX)).count().collect())
-    before = 0
-    for prefix, count in counts:
-        if before + count >= n:
-            edge = ranked.where(F.col("k").startswith(prefix)).orderBy("k", "i").limit(n - before).agg(F.max(F.struct("k", "i"))).first()[0]
-            return F.struct(key.alias("k"), F.col(id_col).cast("string").alias("i")) <= F.struct(F.lit(edge[0]).alias("k"), F.lit(edge[1]).alias("i"))
-        before += count
-    return F.lit(True)
+
+    def __init__(self, rows: DataFrame, id_col: str, seed: int):
+        self.key, self.id = rank_key(id_col, seed), F.col(id_col).cast("string")
+        self.ranked = rows.select(self.key.alias("k"), self.id.alias("i"))
+        self.counts = sorted((r[0] or "", r[1]) for r in self.ranked.groupBy(F.substring("k", 1, PREFIX)).count().collect())
+        self.total = sum(n for _, n in self.counts)
+
+    def first(self, n: int) -> Column:
+        if n <= 0:
+            return F.lit(False)
+        before = 0
+        for prefix, count in self.counts:
+            if before + count >= n:
+                edge = self.ranked.where(F.coalesce("k", F.lit("")).startswith(prefix) if prefix else F.col("k").isNull()).orderBy("k", "i").limit(n - before).agg(F.max(F.struct("k", "i"))).first()[0]
+                return F.struct(self.key.alias("k"), self.id.alias("i")) <= F.struct(F.lit(edge[0]).cast("string").alias("k"), F.lit(edge[1]).cast("string").alias("i"))
+            before += count
+        return F.lit(True)
 
 
 def cap_rows(df: DataFrame, most: int, id_col: str = "id", seed: int = 42) -> DataFrame:
-    """A reproducible choice of ``most`` rows; all of them if 0 or if there are no more."""
-    if most <= 0 or df.count() <= most:
+    """A reproducible choice of ``most`` rows; all of them if 0 or if there are no more.
+
+    The rows are written once, so that what made them runs once; their number comes with the counts.
+    """
+    if most <= 0:
         return df
-    return df.where(_first_by_rank(df, id_col, seed, most))
+    rows = materialize(df, "cap")
+    ranks = Ranks(rows, id_col, seed)
+    return rows if ranks.total <= most else rows.where(ranks.first(most))
 
 
 def valid_count(n: int, ratio: float) -> int:
@@ -54,10 +65,21 @@ def valid_count(n: int, ratio: float) -> int:
 def split_rows(df: DataFrame, ratio: float = 0.05, id_col: str = "id", seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(train, valid) with exactly max(1, int(n * ratio)) rows in valid; ids should be unique.
 
-    One row goes to valid and leaves train empty; an empty table gives two empty ones.
+    One row goes to valid and leaves train empty; an empty table gives two empty ones. The rows are
+    written once, so that what made them runs once for both parts.
     """
-    chosen = _first_by_rank(df, id_col, seed, valid_count(df.count(), ratio))
-    return df.where(~chosen), df.where(chosen)
+    train, valid, _ = cap_and_split(df, 0, ratio, id_col, seed)
+    return train, valid
+
+
+def cap_and_split(df: DataFrame, most: int, ratio: float = 0.05, id_col: str = "id", seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(train, valid, both) of ``cap_rows`` and ``split_rows``, from one writing and one count."""
+    rows = materialize(df, "split")
+    ranks = Ranks(rows, id_col, seed)
+    n = min(ranks.total, most) if most > 0 else ranks.total
+    chosen = ranks.first(valid_count(n, ratio))
+    kept = rows if n == ranks.total else rows.where(ranks.first(n))
+    return kept.where(~chosen), kept.where(chosen), kept
 
 
 def shuffled_positions(n: int, seed: int) -> list[int]:
@@ -73,6 +95,7 @@ def shuffled_positions(n: int, seed: int) -> list[int]:
 def split_rows_exact(df: DataFrame, ratio: float, order: str, *, most: int = 0, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Cap and split by the same permutations as ``random.Random(seed).shuffle`` of the rows in
     ``order``. Bounded by EXACT_ROWS, since a permutation is made on the driver."""
+    df = materialize(df, "exact")
     spark, n = df.sparkSession, df.count()
     if n > EXACT_ROWS:
         raise ValueError(f"{n} rows are too many for an exact permutation; use split_rows")

@@ -144,6 +144,17 @@ def drop_reasons_events(spark, sf_dir):
     return conversation.drop_reasons(_lines(spark, sf_dir, "events"), TARGETS["events"])
 
 
+_SQL_LINES["blank"] = "SELECT conv_id AS chunk_id, turn AS dialogue_index, role, CASE WHEN conv_id % 3 = 0 AND role = 'assistant' THEN '  ' ELSE text END AS dialogue FROM conversations"
+TARGETS["blank"] = TARGETS["conversations"]
+
+
+@query(_sql_reasons("blank"))
+def drop_reasons_blank(spark, sf_dir):
+    """With chunks whose target lines are all blank."""
+    blank = F.when((F.col("chunk_id") % 3 == 0) & (F.col("role") == "assistant"), "  ").otherwise(F.col("dialogue"))
+    return conversation.drop_reasons(_lines(spark, sf_dir).withColumn("dialogue", blank), TARGETS["blank"])
+
+
 @query(f"SELECT role, count(*) AS n_lines FROM ({_SQL_LINES['events']}) WHERE {_sql_target('events')} GROUP BY role")
 def alias_hits(spark, sf_dir):
     return conversation.alias_hits(_lines(spark, sf_dir, "events"), TARGETS["events"])
@@ -339,6 +350,16 @@ def validate_errors_json(spark, sf_dir):
     return validate.json_sample_errors(raw).select("conv_id", "error")
 
 
+@query(f"SELECT conv_id, coalesce(error, CASE WHEN conv_id % 5 = 0 THEN 'system_not_string' END) AS error FROM ({_SQL_ERRORS})")
+def validate_errors_system(spark, sf_dir):
+    """With system values that are numbers, strings, null or absent."""
+    key = F.col("conv_id")
+    system = F.when(key % 5 == 0, F.lit(', "system": 7')).when(key % 5 == 1, F.lit(', "system": "s"')).when(key % 5 == 2, F.lit(', "system": null')).otherwise(F.lit(""))
+    body = F.regexp_replace(F.to_json(F.struct("conversations")), r"\}\z", "")
+    raw = _raw_samples(spark, sf_dir).select("conv_id", F.concat(body, system, F.lit("}")).alias("json"))
+    return validate.json_sample_errors(raw).select("conv_id", "error")
+
+
 @query(f"""
     WITH {_sql_turns('conversations')}, per AS (
         SELECT chunk_id, count(*) AS n FROM turns GROUP BY 1
@@ -403,6 +424,18 @@ def context_clean(spark, sf_dir):
     return raw.select("conv_id", text.clean_context(F.col("raw"), "assistant", "no such preamble").alias("context"))
 
 
+@query(f"""
+    WITH c AS (SELECT conv_id, CASE WHEN conv_id % 2 = 0 THEN 'What follows is the tale.' || chr(10) || chr(10) ELSE '' END || raw AS raw FROM ({_SQL_CONTEXT})), b AS (
+        SELECT conv_id, CASE WHEN contains(raw, 'assistant：') THEN regexp_replace(array_to_string(list_slice(string_split(raw, 'assistant：'), 1, len(string_split(raw, 'assistant：')) - 1), 'assistant：'), '^\\s+|\\s+$', '', 'g') ELSE raw END AS body FROM c
+    ) SELECT conv_id, CASE WHEN contains(body, 'follows is') THEN regexp_replace(CASE WHEN instr(body, chr(10) || chr(10)) > 0 THEN substr(body, instr(body, chr(10) || chr(10)) + 2) ELSE body END, '^\\s+|\\s+$', '', 'g') ELSE body END AS context FROM b""")
+def context_clean_preamble(spark, sf_dir):
+    """With a preamble sentence before every second context."""
+    told = F.array_sort(F.collect_list(F.struct("turn", F.concat("role", F.lit("："), F.col("text")).alias("t"))))
+    raw = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(told.alias("m")).select("conv_id", F.array_join(F.transform("m", lambda x: x["t"]), "\n").alias("raw"))
+    raw = raw.withColumn("raw", F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("What follows is the tale.\n\n"), F.col("raw"))).otherwise(F.col("raw")))
+    return raw.select("conv_id", text.clean_context(F.col("raw"), "assistant", "follows is").alias("context"))
+
+
 @query(f"""
     WITH p AS (
         SELECT conv_id, turn, role, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS reply, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role FROM conversations
@@ -430,12 +463,66 @@ def checkpoint_numbers(spark, sf_dir):
 # --- chunks and replies --------------------------------------------------------------------------------
 
 
-@query()
+_SQL_CHUNKS = f"""
+    WITH RECURSIVE l AS (
+        SELECT doc_id, list(line ORDER BY n) AS ls
+        FROM (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents)
+        WHERE line <> '' GROUP BY doc_id
+    ), s AS (
+        SELECT doc_id, 1 AS i, CAST(NULL AS VARCHAR[]) AS parts, CAST(0 AS BIGINT) AS total, CAST([] AS VARCHAR[]) AS chunks FROM l
+        UNION ALL
+        SELECT doc_id, i + 1,
+            CASE WHEN cost IS NULL OR cost > {chunker.MAX_TOKENS} THEN NULL
+                 WHEN total + cost + 1 <= {chunker.MAX_TOKENS} THEN list_concat(coalesce(parts, []), [line])
+                 WHEN kept.n + cost + 1 > {chunker.MAX_TOKENS} THEN [line]
+                 ELSE list_concat(CASE WHEN len(kept.t) = 0 THEN [''] ELSE kept.t END, [line]) END,
+            CASE WHEN cost IS NULL OR cost > {chunker.MAX_TOKENS} THEN 0
+                 WHEN total + cost + 1 <= {chunker.MAX_TOKENS} THEN total + cost + 1
+                 WHEN kept.n + cost + 1 > {chunker.MAX_TOKENS} THEN cost + 1
+                 ELSE kept.n + cost + 1 END,
+            CASE WHEN cost IS NULL THEN CASE WHEN parts IS NULL THEN [] ELSE [array_to_string(parts, chr(10))] END
+                 WHEN cost > {chunker.MAX_TOKENS} THEN list_concat(CASE WHEN parts IS NULL THEN [] ELSE [array_to_string(parts, chr(10)) || chr(10)] END,
+                     list_reduce(list_transform(regexp_extract_all(line, '[^.!?]*[.!?]|[^.!?]+'), lambda x: [x]),
+                         lambda a, x: CASE WHEN length(a[-1]) + length(x[1]) > {chunker.MAX_TOKENS} THEN list_concat(a, x) ELSE list_concat(a[:-2], [a[-1] || x[1]]) END))
+                 WHEN total + cost + 1 > {chunker.MAX_TOKENS} AND parts IS NOT NULL THEN [array_to_string(parts, chr(10))]
+                 ELSE [] END
+        FROM (
+            SELECT doc_id, i, parts, total, ls[i] AS line, length(ls[i]) AS cost,
+                list_reduce(list_concat([{{'t': CAST([] AS VARCHAR[]), 'n': CAST(0 AS BIGINT)}}], list_transform(ls[greatest(1, i - {chunker.LOOK_BACK}):i - 1], lambda x: {{'t': [x], 'n': length(x)}})),
+                    lambda a, x: CASE WHEN a.n + x.n <= {chunker.OVERLAP_TOKENS} THEN {{'t': list_concat(a.t, x.t), 'n': a.n + x.n}} ELSE a END) AS kept
+            FROM s JOIN l USING (doc_id) WHERE i <= len(ls) + 1
+        )
+    ), each AS (
+        SELECT doc_id, i, unnest(chunks) AS chunk, generate_subscripts(chunks, 1) AS k FROM s
+    )
+    SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i, k) - 1 AS INTEGER) AS chunk_id, chunk, CAST(length(chunk) AS INTEGER) AS n_tokens FROM each"""
+
+
+@query(_SQL_CHUNKS)
 def chunk_documents(spark, sf_dir):
-    """A fold with a data-dependent overlap; tests hold it against a plain model."""
     return chunker.chunk_documents(_table(spark, sf_dir, "documents"), ends=".!?")
 
 
+@query("""
+    SELECT conv_id AS chunk_id, dialogue_index, role, trim(text) AS dialogue
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS dialogue_index FROM conversations WHERE conv_id % 4 < 2 AND trim(role) <> '' AND trim(text) <> ''
+          UNION ALL SELECT *, 0 FROM conversations WHERE conv_id % 4 = 2 AND trim(role) <> '' AND trim(text) <> '' QUALIFY turn = min(turn) OVER (PARTITION BY conv_id))""")
+def parse_replies_unfenced(spark, sf_dir):
+    """Bare lists in prose, objects with a script, lone objects, and replies without JSON."""
+    element = F.struct("turn", F.struct("role", F.col("text").alias("dialogue")).alias("d"))
+    filled = F.when((F.trim("role") != "") & (F.trim("text") != ""), element)
+    told = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(filled)).alias("m"))
+    whole = F.to_json(F.transform("m", lambda x: x["d"]))
+    kind = F.col("conv_id") % 4
+    reply = (
+        F.when(kind == 0, F.concat(F.lit("Well: "), whole, F.lit(" and that is all.")))
+        .when(kind == 1, F.concat(F.lit('{"script": '), whole, F.lit("}")))
+        .when(kind == 2, F.concat(F.lit("One line: "), F.to_json(F.get("m", 0)["d"])))
+        .otherwise(F.lit("I found {none"))
+    )
+    return replies.parse_replies(told.select(F.col("conv_id").alias("chunk_id"), reply.alias("response")))
+
+
 @query("SELECT conv_id AS chunk_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS dialogue_index, role, trim(text) AS dialogue FROM conversations WHERE trim(role) <> '' AND trim(text) <> ''")
 def parse_replies(spark, sf_dir):
     element = F.struct("turn", F.struct("role", F.col("text").alias("dialogue")).alias("d"))
@@ -444,11 +531,12 @@ def parse_replies(spark, sf_dir):
     return replies.parse_replies(told.select(F.col("conv_id").alias("chunk_id"), reply.alias("response")))
 
 
-@query("SELECT conv_id AS pos, 'Q: ' || text AS user, text AS role FROM conversations WHERE turn = 0 AND text <> ''")
+@query("SELECT conv_id * 1000 + turn AS pos, 'Q: ' || text AS user, text AS role FROM conversations WHERE text <> ''")
 def batch_rewrites(spark, sf_dir):
-    first = _table(spark, sf_dir, "conversations").where("turn = 0 AND text <> ''").select("conv_id", "text")
-    entry = F.struct(F.col("conv_id").alias("id"), F.concat(F.lit("Q: "), F.col("text")).alias("user"), F.col("text").alias("role"))
-    batches = first.groupBy(F.floor(F.col("conv_id") / 10).alias("batch")).agg(F.collect_list("conv_id").alias("ids"), F.concat(F.lit("ok "), F.to_json(F.collect_list(entry))).alias("response"))
+    key = F.col("conv_id") * 1000 + F.col("turn")
+    said = _table(spark, sf_dir, "conversations").where("text <> ''").select(key.cast("long").alias("pos"), "text")
+    entry = F.struct(F.col("pos").alias("id"), F.concat(F.lit("Q: "), F.col("text")).alias("user"), F.col("text").alias("role"))
+    batches = said.groupBy(F.floor(F.col("pos") / 10_000).alias("batch")).agg(F.collect_list("pos").alias("ids"), F.concat(F.lit("ok "), F.to_json(F.collect_list(entry))).alias("response"))
     return extract.match_rewrites(batches, ("user", "role"))[0]
 
 

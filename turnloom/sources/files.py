@@ -81,10 +81,11 @@ def with_chunk_text(lines: DataFrame, keep: bool) -> DataFrame:
     return lines.withColumn("chunk_text", F.nullif(F.col("chunk_text"), F.lit("")))
 
 
-def parse_env(lines: DataFrame, line_col: str = "value") -> DataFrame:
+def parse_env(lines: DataFrame, line_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows (key, value) of KEY=VALUE lines; comments go, outer quotes are taken off.
 
-    The first ``=`` parts a line; of equal keys all stay, in no order.
+    The first ``=`` parts a line; of equal keys all stay, in no order. ``keep`` names other columns
+    of ``lines`` that stay, such as the place of a line.
     """
     from ..functions.text import strip
 
@@ -95,17 +96,22 @@ def parse_env(lines: DataFrame, line_col: str = "value") -> DataFrame:
         bare = F.regexp_replace(v, r'^"+|"+\z', "")
         return F.regexp_replace(bare, r"^'+|'+\z", "")
 
-    return lines.where(line.contains("=") & ~line.startswith("#")).select(strip(parts[0]).alias("key"), unquoted(strip(parts[1])).alias("value"))
+    return lines.where(line.contains("=") & ~line.startswith("#")).select(*keep, strip(parts[0]).alias("key"), unquoted(strip(parts[1])).alias("value"))
 
 
 def load_env(spark: SparkSession, path: str) -> dict[str, str]:
-    """The settings of a file as a dictionary; a missing file gives none."""
+    """The settings of a file on the driver's machine as a dictionary; a missing file gives none.
+
+    Of equal keys the last one counts. Spark's readers skip files whose names begin with a dot, so
+    the file is opened here.
+    """
     try:
-        return {r.key: r.value for r in parse_env(spark.read.text(path)).collect()}
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return {}
-        raise
+        with open(path, encoding="utf-8") as file:
+            lines = list(enumerate(file.read().split("\n")))
+    except FileNotFoundError:
+        return {}
+    rows = parse_env(spark.createDataFrame(lines, "pos int, value string"), keep=("pos",)).collect()
+    return {r.key: r.value for r in sorted(rows, key=lambda r: r.pos)}
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str = "name") -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from .. import schemas
-from ..operators import extract, lines
+from ..operators import extract
 
 
 def read_line_stream(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
@@ -17,29 +19,30 @@ def read_line_stream(spark: SparkSession, folder: str, files_per_batch: int = 10
     return spark.readStream.schema(schemas.LINE).option("maxFilesPerTrigger", files_per_batch).option("mode", "FAILFAST").json(folder)
 
 
-def new_lines(batch: DataFrame, seen: DataFrame | None) -> DataFrame:
-    """Lines of a batch whose exact (role, dialogue) neither the batch nor ``seen`` had before."""
-    first = lines.dedup_lines(batch)
-    return first if seen is None else first.join(seen.select("role", "dialogue"), ["role", "dialogue"], "left_anti").select(*batch.columns)
+def _first_of_key(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The first line of a (role, dialogue) that no batch had before, by chunk and place in it."""
+    best = None
+    for frame in frames:
+        first = frame.sort_values(["chunk_id", "dialogue_index"], na_position="first", kind="stable").head(1)
+        best = first if best is None else pd.concat([best, first]).sort_values(["chunk_id", "dialogue_index"], na_position="first", kind="stable").head(1)
+    if best is not None and not state.exists:
+        state.update((True,))
+        yield best
 
 
-def dedup_stream(stream: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Appends each line to a table the first time it is said.
+def first_lines(stream: DataFrame) -> DataFrame:
+    """The lines of a stream whose exact (role, dialogue) was not there before.
 
-    A batch goes to a folder named by its number and replaces what an interrupted attempt left,
-    and reads as seen only earlier batches, so a batch that is run again gives the same rows.
+    What was said is state, kept by key and looked up by key, so a batch costs what it holds and
+    not what came before it; with a RocksDB state store it need not fit in memory. State is one
+    flag for each different line, for as long as the query lives: exact, without a watermark.
     """
-    def store(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        seen = None
-        try:
-            seen = spark.read.parquet(out).where(F.col("batch") < number)
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-                raise
-        new_lines(batch, seen).write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return stream.groupBy("role", "dialogue").applyInPandasWithState(_first_of_key, stream.schema, "seen boolean", "append", "NoTimeout")
+
+
+def dedup_stream(stream: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Appends each line to a Parquet table the first time it is said, exactly once."""
+    writer = first_lines(stream).writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
