@@ -10,14 +10,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, buffers, slices
+from .common import bound_batches, buffers, free, materialize, slices
 
 #: Labelled documents that training takes at most: those with the smallest hashes.
 MAX_TRAINING_DOCS = 6_000
+#: Lines of all training documents together at most; a document that would exceed it is left out.
+MAX_TRAINING_LINES = 400_000
 #: Lines of a training document that form one chain; longer documents give several.
 CHAIN_LINES = 200
 BINS = 10
+#: Rounds of training at most; it ends when ten of them have lowered the loss by less than this part.
 ROUNDS = 240
+LEAST_GAIN = 2e-3
 
 FEATURES = ("length", "words", "word_length", "upper", "digits", "marks", "symbols", "exclaims", "bars", "repeats", "pairs", "ends_sentence", "starts_upper", "space", "copies")
 
@@ -181,9 +185,12 @@ class LineCrf:
         parameters = [self.weights, self.moves]
         mean = [np.zeros_like(p) for p in parameters]
         square = [np.zeros_like(p) for p in parameters]
-        total = weight.sum()
+        total, losses = weight.sum(), []
         for step in range(1, self.rounds + 1):
             p, moved = self.marginals(self._emission(columns, first, last), offsets)
+            losses.append(-float((weight * np.log(np.clip(np.where(target > 0.5, p, 1 - p), 1e-9, 1))).sum()))
+            if step > 20 and losses[-11] - losses[-1] < LEAST_GAIN * losses[-11]:
+                break
             gap = (target - p) * weight
             grad = np.zeros_like(self.weights)
             size = self.weights.shape[1]
@@ -221,11 +228,14 @@ class LineCrf:
         return 1 / (1 + np.exp(-np.clip(_log_odds(mean) * self.scale[0] + self.scale[1], -60, 60)))
 
 
-def train_quality_model(df: DataFrame, labels: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = MAX_TRAINING_DOCS) -> LineCrf:
+def train_quality_model(df: DataFrame, labels: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = MAX_TRAINING_DOCS, max_lines: int = MAX_TRAINING_LINES) -> LineCrf:
     """Fit on at most ``max_docs`` labelled documents that ``learn``, a condition on ``id``, allows.
 
-    ``labels`` holds (id, 0 or 1); a document labelled both ways counts as good. The line features
-    of the sample come to the driver, which its bound makes small.
+    ``labels`` holds (id, 0 or 1); a document labelled both ways counts as good, and of texts with
+    equal ids the first in order is taken. The texts are read once, into a table of the sample; the
+    line features of its documents, in the order of their hashes and up to ``max_lines`` lines, come
+    to the driver, which the two bounds make small. Null texts count as empty; null ids are left
+    out; empty tables give a model that scores all texts alike.
     """
     bound_batches(df.sparkSession)
     chosen = (
@@ -234,22 +244,31 @@ def train_quality_model(df: DataFrame, labels: DataFrame, learn: Column, *, id_c
         .groupBy("id").agg(F.max("good").alias("good"))
         .orderBy(F.xxhash64("id"), "id").limit(max_docs)
     )
-    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "id").select("id", "text", "good")
+    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
+    sample = materialize(rows.groupBy("id").agg(F.min("text").alias("text"), F.first("good").alias("good")), "quality-sample")
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    taken, total = set(), 0
+    for key, n, _ in sorted(sample.select(F.col("id").cast("string"), lines, F.xxhash64("id")).collect(), key=lambda r: (r[2], r[0])):
+        if total + n <= max_lines:
+            taken.add(key)
+            total += n
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, text in slices(batches, "text", 1 << 20):
             found, sizes, offsets = line_features(text)
             found = np.column_stack([found, sizes.astype(np.float32)])
             packed = [found[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), pa.array(packed, pa.binary()), batch.column(2)], names=["id", "features", "good"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), batch.column(2)], names=["id", "features", "good"])
 
     parts, lengths, good = [], [], []
-    for r in sorted(rows.mapInArrow(features, "id string, features binary, good int").collect(), key=lambda r: (r[0], r[1], r[2])):
-        lines = np.frombuffer(r[1], np.float32).reshape(-1, len(FEATURES) + 1)
-        for a in range(0, len(lines), CHAIN_LINES):
-            parts.append(lines[a : a + CHAIN_LINES])
+    wanted = sample.select(F.col("id").cast("string").alias("id"), "text", "good").where(F.col("id").isin(*taken) if taken else F.lit(False))
+    for r in sorted(wanted.mapInArrow(features, "id string, features binary, good int").collect(), key=lambda r: r[0]):
+        table = np.frombuffer(r[1], np.float32).reshape(-1, len(FEATURES) + 1)
+        for a in range(0, len(table), CHAIN_LINES):
+            parts.append(table[a : a + CHAIN_LINES])
             lengths.append(len(parts[-1]))
             good.append(r[2])
+    free(sample)
     table = np.concatenate(parts) if parts else np.zeros((0, len(FEATURES) + 1), np.float32)
     return LineCrf().fit(table[:, :-1], table[:, -1], np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64), np.array(good))
 
@@ -257,9 +276,9 @@ def train_quality_model(df: DataFrame, labels: DataFrame, learn: Column, *, id_c
 def score_quality(df: DataFrame, model: LineCrf, *, text_col: str = "text", score_col: str = "quality_score") -> DataFrame:
     """All columns of ``df`` with a score, 0 to 1, higher where good is likelier.
 
-    Null counts as the empty text, which is one empty line. Whole texts are read, in Arrow
-    batches, without a shuffle; equal texts have equal scores. A column of the score's name is
-    replaced.
+    Null counts as the empty text, which is one empty line. Whole texts are read, however long, in
+    Arrow batches, without a shuffle; equal texts have equal scores; repeated rows all stay. A
+    column of the score's name is replaced, others pass through; an empty table stays empty.
     """
     bound_batches(df.sparkSession)
     df = df.drop(score_col)
