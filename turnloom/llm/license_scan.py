@@ -55,8 +55,8 @@ TEMPLATES = (
 
 
 def words(text: Column) -> Column:
-    """Lower-cased words. Letters outside ASCII are lower-cased too; ``exact`` undoes the one case
-    in which that makes an ASCII letter (the Kelvin sign)."""
+    """Lower-cased words. Letters outside ASCII are lower-cased too; the Kelvin sign, the only one of
+    them that would become an ASCII letter, is replaced by another letter first."""
     plain = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), "K", "ĸ"))
     return F.array_remove(F.split(plain, SEPARATORS), "")
 
@@ -97,8 +97,10 @@ def scan_licenses(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     (template, label, base, start, words, score) with the score the covered share; ``words`` is the
     template's length.
 
-    Null texts count as empty and have no spans; rows with equal ids are told apart. Only matches
-    and one narrow row per text are shuffled. Templates of fewer than ``k`` words are refused.
+    Null texts count as empty and have no spans; long texts are read whole; rows with equal or null
+    ids are told apart. Where several spans begin at one place all are given. An empty table gives
+    an empty one; other columns are not read, whatever their names. Only matches and one narrow row
+    per text are shuffled. Templates of fewer than ``k`` words are refused.
     """
     spark = df.sparkSession
     sizes = [len(t.text.split()) for t in templates]

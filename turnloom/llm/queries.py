@@ -83,8 +83,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_quality_classifier, op3_decontamination, op4_html_extraction, op5_best_fit_packing, op6_language_id, op7_url_filter, op8_minhash_near_dedup, op9_license_scan, op10_token_files)}
 
+_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_TEMPLATES = ",\n                ".join(f"({i}, '{t.label}', {str(t.base).lower()}, '{t.text}', '{t.key}')" for i, t in enumerate(license_scan.TEMPLATES))
+
 ORACLE_SQL = {
     "op1_exact_dedup": """
         WITH g AS (
@@ -137,4 +140,42 @@ ORACLE_SQL = {
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, d.doc_id <= coalesce(m, d.doc_id) AS kept
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_one USING (doc_id)
     """,
+    "op9_license_scan": f"""
+        WITH t AS (
+            SELECT template, label, base, len(w) AS size, w, NOT base AND len(w) >= {license_scan.SHORT} AS part,
+                CASE WHEN key = '' THEN 0 ELSE len(string_split(key, ' ')) - 2 END AS key_grams,
+                len(string_split(trim(split_part(text, key, 1)), ' ')) AS key_first
+            FROM (SELECT *, string_split(text, ' ') AS w FROM (VALUES
+                {_TEMPLATES}
+            ) AS x(template, label, base, text, key))
+        ), tg AS (
+            SELECT template, p - 1 AS place, w[p] AS a, w[p + 1] AS b, w[p + 2] AS c FROM t, unnest(range(1, len(w) - 1)) AS u(p)
+        ), d AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM documents
+        ), dg AS (
+            SELECT doc_id, p - 1 AS i, w[p] AS a, w[p + 1] AS b, w[p + 2] AS c FROM d, unnest(range(1, len(w) - 1)) AS u(p)
+        ), votes AS (
+            SELECT doc_id, template, i, place, i - place AS diagonal FROM dg JOIN tg USING (a, b, c)
+        ), fresh AS (
+            SELECT doc_id, template, diagonal,
+                CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > CASE WHEN part THEN {license_scan.DRIFT} ELSE 0 END THEN 1 ELSE 0 END AS fresh
+            FROM (SELECT DISTINCT doc_id, template, diagonal FROM votes) JOIN t USING (template)
+        ), numbered AS (
+            SELECT doc_id, template, diagonal, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS passage FROM fresh
+        ), passages AS (
+            SELECT doc_id, template, passage, min(i) AS pos, count(DISTINCT place + j) AS covered,
+                count(DISTINCT place) FILTER (key_grams > 0 AND place BETWEEN key_first AND key_first + key_grams - 1) AS key_seen
+            FROM votes JOIN numbered USING (doc_id, template, diagonal) JOIN t USING (template), unnest(range(0, 3)) AS u(j)
+            GROUP BY doc_id, template, passage
+        ), spans AS (
+            SELECT doc_id, label, base, pos, CAST(covered AS DOUBLE) / size AS score FROM passages JOIN t USING (template)
+            WHERE CAST(covered AS DOUBLE) / size >= CASE WHEN part THEN CAST({license_scan.COVER} AS DOUBLE) ELSE 1 END AND key_seen = key_grams
+        ), found AS (
+            SELECT doc_id, count(*) FILTER (base) AS n_base, min(pos) FILTER (base) AS first_word, max(pos) FILTER (base) AS last_word,
+                string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+            FROM spans GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+        FROM d LEFT JOIN found USING (doc_id)
+    """,
 }
