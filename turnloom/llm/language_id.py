@@ -21,7 +21,7 @@ MAX_TRAINING_DOCS = 20_000
 UNDETERMINED = "und"
 #: Cosine that a long text must reach with some language, and the number of letters at which half
 #: of it is asked; the fewer letters, the less their n-grams can be like a whole language.
-LEAST_SCORE = 0.15
+LEAST_SCORE = 0.1
 HALF_LETTERS = 60
 POINTS = 0x110000
 
