@@ -11,16 +11,19 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, buffers, free, materialize, posix_path, scratch_path, slices
+from .common import bound_batches, buffers, posix_path, scratch_path, slices
 from .tokens import Encoder
 
-#: Bytes of ids for which one file is written, about; they are counted before the files are.
-BYTES_PER_FILE = 32 << 20
+#: Bytes of text whose ids make one file, about; they are counted before the files are laid out.
+BYTES_PER_FILE = 64 << 20
+#: Rows for each file, about, from whose keys and sizes the borders of the files are drawn.
+SAMPLE_PER_FILE = 40
+LOWEST = np.iinfo(np.int64).min
 
 MANIFEST = T.StructType([T.StructField("shard", T.LongType()), T.StructField("docs", T.LongType()), T.StructField("ids", T.LongType())])
 INDEX = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
@@ -30,14 +33,52 @@ def _files(folder: str, shard: int) -> dict[str, str]:
     return {kind: f"{folder}/{shard:06d}.{kind}" for kind in ("ids", "offsets", "docs")}
 
 
+class Borders:
+    """Keys (id, salt) that part the rows into files: a file begins with its border."""
+
+    def __init__(self, keys: list[tuple[int, int]]):
+        keys = sorted(keys)
+        self.ids, self.salts = (np.array([k[j] for k in keys], np.int64) for j in (0, 1))
+
+    def file_of(self, ids: np.ndarray, salts: np.ndarray) -> np.ndarray:
+        first, last = np.searchsorted(self.ids, ids, "left"), np.searchsorted(self.ids, ids, "right")
+        out = first.copy()
+        split = np.flatnonzero(first < last)  # ids that stand in several files
+        for a in np.unique(first[split]):
+            rows = split[first[split] == a]
+            out[rows] = a + np.searchsorted(self.salts[a : last[rows[0]]], salts[rows], "right")
+        return out
+
+
+def _salted(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows (id, salt, text). The salt parts rows with equal ids; a null id is the lowest number."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    return df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("id"), F.xxhash64(F.monotonically_increasing_id()).alias("salt"), text)
+
+
+def file_borders(df: DataFrame, id_col: str, text_col: str, files: int | None) -> Borders:
+    """Borders of files of about equal bytes of text, from a sample of ids and sizes by hash."""
+    rows = _salted(df, id_col, text_col).select("id", "salt", F.octet_length("text").cast("long").alias("size"))
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    files = files or max(1, -(-size // BYTES_PER_FILE))
+    if files == 1 or not n:
+        return Borders([])
+    share = min(1.0, SAMPLE_PER_FILE * files / n)
+    sample = rows.where(F.pmod(F.xxhash64("salt"), F.lit(1 << 30)) <= int(share * (1 << 30))).toArrow().sort_by([("id", "ascending"), ("salt", "ascending")])
+    total = np.cumsum(sample["size"].to_numpy() + 1)
+    at = np.searchsorted(total, np.arange(1, files) * (total[-1] / files)) if len(total) else np.zeros(0, int)
+    return Borders([(sample["id"][int(i)].as_py(), sample["salt"][int(i)].as_py()) for i in np.unique(at[at > 0])])
+
+
 def write_token_files(df: DataFrame, folder: str | None = None, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int | None = 1, files: int | None = None) -> str:
     """Write the ids of every text in ascending order of ``id_col``; returns the folder.
 
-    The texts are read and encoded once, where they lie; what is dealt by ranges of the id and
-    sorted is their ids. A shard has three files: ``ids`` (uint16 if the vocabulary fits, else
-    uint32), ``offsets`` (int64, one more than documents) and ``docs`` (int64 ids, the lowest int64
-    for null). ``manifest.json`` holds the counts and the base of each shard, a prefix sum over
-    them. Files appear by an atomic rename, so retried and speculative tasks leave the same result.
+    The borders of the files are drawn first, from ids and sizes. Then the texts are encoded where
+    they lie, and their ids, not the texts, are dealt to the files and sorted. A shard has three
+    files: ``ids`` (uint16 if the vocabulary fits, else uint32), ``offsets`` (int64, one more than
+    documents) and ``docs`` (int64 ids, the lowest int64 for null). ``manifest.json`` holds the
+    counts and the base of each shard, a prefix sum over them. Files appear by an atomic rename, so
+    retried and speculative tasks leave the same result.
 
     Null texts count as empty; a long text is one row of ids, whole. Rows with equal ids all stay;
     they and rows without an id, which come first, may be dealt to several files. An empty table
@@ -48,42 +89,42 @@ def write_token_files(df: DataFrame, folder: str | None = None, *, id_col: str =
     bound_batches(spark)
     folder = posix_path(folder or scratch_path(spark, "token-files"))
     os.makedirs(folder, exist_ok=True)
-    encoded = materialize(encoded_texts(df, id_col=id_col, text_col=text_col, tokenizer=tokenizer, end_id=end_id), "token-ids")
-    # the place in the written table parts rows with equal ids
-    placed = encoded.withColumn("place", F.xxhash64(F.monotonically_increasing_id()))
-    if files is None:
-        size = encoded.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-        files = max(1, -(-size // BYTES_PER_FILE))
+    borders = file_borders(df, id_col, text_col, files)
     dtype = _dtype(tokenizer)
+    encoded = _encoded(_salted(df, id_col, text_col), spark.sparkContext.broadcast(borders), tokenizer, dtype, end_id)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId()
-        names = _files(folder, shard)
-        temp = {k: f"{v}.{uuid.uuid4().hex}" for k, v in names.items()}
-        docs, total, out = 0, 0, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if out is None:
-                out = {k: open(v, "wb") for k, v in temp.items()}
-                out["offsets"].write(np.zeros(1, "<i8").tobytes())
-            raw, ends = buffers(batch.column(1).cast(pa.large_binary()))
-            raw.tofile(out["ids"])
-            ends = ends // np.dtype(dtype).itemsize
-            (ends[1:] + total).astype("<i8").tofile(out["offsets"])
-            keys = batch.column(0)
-            keys.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False).astype("<i8").tofile(out["docs"])
-            docs, total = docs + batch.num_rows, total + int(ends[-1])
-        if out is not None:
+        shard = docs = total = -1
+        out: dict = {}
+        temp: dict = {}
+
+        def closed() -> Iterator[pa.RecordBatch]:
             for kind, handle in out.items():
                 handle.close()
-                os.replace(temp[kind], names[kind])
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "docs": [docs], "ids": [total]}, schema=_arrow(MANIFEST))
+                os.replace(temp[kind], _files(folder, shard)[kind])
+            if out:
+                yield pa.RecordBatch.from_pydict({"shard": [shard], "docs": [docs], "ids": [total]}, schema=_arrow(MANIFEST))
+
+        for batch in batches:
+            shards = batch.column(0).to_numpy()
+            for a, b in zip(*_runs(shards), strict=True):  # a task may hold several files, one after another
+                if shards[a] != shard:
+                    yield from closed()
+                    shard, docs, total = int(shards[a]), 0, 0
+                    temp = {k: f"{v}.{uuid.uuid4().hex}" for k, v in _files(folder, shard).items()}
+                    out = {k: open(v, "wb") for k, v in temp.items()}
+                    out["offsets"].write(np.zeros(1, "<i8").tobytes())
+                raw, ends = buffers(batch.column(2).slice(a, b - a).cast(pa.large_binary()))
+                raw.tofile(out["ids"])
+                ends = ends // np.dtype(dtype).itemsize
+                (ends[1:] + total).astype("<i8").tofile(out["offsets"])
+                batch.column(1).slice(a, b - a).to_numpy().astype("<i8").tofile(out["docs"])
+                docs, total = docs + int(b - a), total + int(ends[-1])
+        yield from closed()
 
     # one row per file comes to the driver
-    dealt = placed.repartitionByRange(files, "id", "place").sortWithinPartitions("id", "place").select("id", "ids")
+    dealt = encoded.repartitionById(len(borders.ids) + 1, F.col("shard")).sortWithinPartitions("shard", "id", "salt").select("shard", "id", "ids")
     made = sorted(tuple(r) for r in dealt.mapInArrow(write, MANIFEST).collect())
-    free(encoded)
     bases = list(accumulate((m[2] for m in made), initial=0))
     shards = [{"shard": s, "docs": d, "ids": n, "base": b} for (s, d, n), b in zip(made, bases, strict=False)]
     with open(f"{folder}/manifest.json.new", "w") as f:
@@ -92,28 +133,33 @@ def write_token_files(df: DataFrame, folder: str | None = None, *, id_col: str =
     return folder
 
 
+def _runs(values: np.ndarray) -> tuple[list[int], list[int]]:
+    """Where runs of equal values begin and end."""
+    inner = (np.flatnonzero(values[1:] != values[:-1]) + 1).tolist()
+    return ([0, *inner], [*inner, len(values)]) if len(values) else ([], [])
+
+
 def _dtype(tokenizer: str | None) -> str:
     return "<u2" if Encoder(tokenizer).vocab_size <= 1 << 16 else "<u4"
 
 
-def encoded_texts(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int | None = 1) -> DataFrame:
-    """Rows (id, ids): the ids of each text and ``end_id`` as little-endian unsigned integers."""
-    narrow = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    dtype = _dtype(tokenizer)
+def _encoded(rows: DataFrame, borders: Broadcast, tokenizer: str | None, dtype: str, end_id: int | None) -> DataFrame:
+    """Rows (shard, id, salt, ids): the file and the ids of each text and ``end_id``, as
+    little-endian unsigned integers."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of_worker(tokenizer)
+        encoder, size = Encoder.of_worker(tokenizer), np.dtype(dtype).itemsize
         for batch, text in slices(batches, "text", 4 << 20):
             ids, ends = encoder.encode(text)
             if end_id is not None:
                 full = np.full(len(ids) + len(text), end_id, np.uint32)
                 full[np.arange(len(ids)) + np.repeat(np.arange(len(text)), np.diff(ends))] = ids
                 ids, ends = full, ends + np.arange(len(ends))
-            size = np.dtype(dtype).itemsize
             packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(text), [None, pa.py_buffer((ends * size).astype(np.int64).tobytes()), pa.py_buffer(ids.astype(dtype).tobytes())])
-            yield pa.RecordBatch.from_arrays([batch.column(0), packed.cast(pa.binary())], names=["id", "ids"])
+            shard = borders.value.file_of(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), batch.column(0), batch.column(1), packed.cast(pa.binary())], names=["shard", "id", "salt", "ids"])
 
-    return narrow.mapInArrow(encode, "id long, ids binary")
+    return rows.mapInArrow(encode, "shard int, id long, salt long, ids binary")
 
 
 class TokenShard:
@@ -155,7 +201,7 @@ def read_token_index(spark: SparkSession, folder: str) -> DataFrame:
                     starts = np.asarray(part.offsets[at : some.stop])
                     ends = np.asarray(part.offsets[at + 1 : some.stop + 1])
                     crc = [zlib.crc32(part[i].astype("<u4").tobytes()) for i in some]
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, mask=keys == np.iinfo(np.int64).min), pa.array(starts + base), pa.array(ends - starts), pa.array(crc, pa.int64())], schema=_arrow(INDEX))
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, mask=keys == LOWEST), pa.array(starts + base), pa.array(ends - starts), pa.array(crc, pa.int64())], schema=_arrow(INDEX))
 
     return shards.mapInArrow(read, INDEX)
 
