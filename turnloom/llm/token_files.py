@@ -21,7 +21,8 @@ from .tokens import Encoder
 
 #: Bytes of text whose ids make one file, about; they are counted before the files are laid out.
 BYTES_PER_FILE = 64 << 20
-#: Rows for each file, about, from whose keys and sizes the borders of the files are drawn.
+#: Rows in all and besides for each file, about, from whose keys and sizes the borders are drawn.
+SAMPLE_ROWS = 100_000
 SAMPLE_PER_FILE = 40
 LOWEST = np.iinfo(np.int64).min
 
@@ -63,7 +64,7 @@ def file_borders(df: DataFrame, id_col: str, text_col: str, files: int | None) -
     files = files or max(1, -(-size // BYTES_PER_FILE))
     if files == 1 or not n:
         return Borders([])
-    share = min(1.0, SAMPLE_PER_FILE * files / n)
+    share = min(1.0, (SAMPLE_ROWS + SAMPLE_PER_FILE * files) / n)
     sample = rows.where(F.pmod(F.xxhash64("salt"), F.lit(1 << 30)) <= int(share * (1 << 30))).toArrow().sort_by([("id", "ascending"), ("salt", "ascending")])
     total = np.cumsum(sample["size"].to_numpy() + 1)
     at = np.searchsorted(total, np.arange(1, files) * (total[-1] / files)) if len(total) else np.zeros(0, int)
