@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -185,8 +185,9 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     3. Table keys pair the half keys. In every table a class is compared with the smallest one of
        its bucket, on whole sets. Components of these links are found.
     4. Of tables that still span several components, the pairs across them are compared which
-       their sizes and the shingles that only one component has allow. So no pair that shares a
-       table goes untested unless it is already connected or its similarity is provably too low.
+       their sizes, what they share with one class of their bucket, and the shingles that only one
+       component has allow. So no pair that shares a table goes untested unless it is already
+       connected or its similarity is provably too low.
 
     Ids should be unique and are whole numbers; repeated rows share a component and are all kept
     or not. Rows without words, null texts among them, are components of their own. A row with a
@@ -215,7 +216,7 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     members = classes.join(roots, "rep", "left").select("w1", "w2", "n", F.coalesce("root", "rep").alias("component"))
     members = materialize(members, "near-members", small=True)
-    free(classes, sets, able, links, pairs)
+    free(classes, sets, able, pairs)
     out = rows.select("id", "n", "w1", "w2").where("n > 0").join(members, ["w1", "w2", "n"], "left").select("id", "n", "component")
     empty = rows.where("n = 0").select("id", "n", F.col("id").alias("component"))
     both = out.unionByName(empty)
@@ -260,32 +261,40 @@ def _own(classes: DataFrame, sets: DataFrame) -> DataFrame:
 def _across(able: DataFrame, found: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """Pairs (a, b) of classes in different components that share a table and may be similar enough.
 
-    Tables that have the first half key in common are walked together: a pair meets at its first
-    shared key of the first collection and needs one of the second as well. What two classes share
-    are at most the shingles that neither's component has to itself, n - v and m - w of them; so
-    their similarity reaches k hundredths only if (100 - k)(n + m) >= (100 + k)(v + w). The slack
-    of a class is its own share of this. Of any pair one class has no negative slack, so a key all
-    of whose classes have it is closed, and in others only classes without it look for partners.
-    """
-    def keys(side: Callable[[Column], Column]) -> Column:
-        return F.transform(F.array_sort(F.filter("keys", side)), lambda k: k["key"])
+    Tables that have the first half key in common are walked together: two classes share a table
+    if they have such a key and one of the second collection in common. Keys whose classes are all
+    of one component are closed.
 
-    halves = able.select("rep", "n", keys(lambda k: k["place"] < HALF).alias("own"), keys(lambda k: k["place"] >= HALF).alias("others"))
-    halves = halves.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    each = halves.select("rep", "n", "root", "own", "others", F.explode("own").alias("key"))
+    What two classes share are at most the shingles that neither's component has to itself, n - v
+    and m - w of them; so their similarity reaches k hundredths only if (100 - k)(n + m) >=
+    (100 + k)(v + w). The slack of a class is its own share of this. Of any pair one class has no
+    negative slack, so a key all of whose classes have it is closed, and in others only classes
+    without it look for partners. Besides, two classes share no more than the smaller of what each
+    shares with the pivot of their key, and what they have outside of it but for their own ones.
+    """
+    first_half = F.filter("keys", lambda k: k["place"] < HALF)
+    rooted = able.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    each = rooted.select("rep", "n", "u", "root", F.explode(F.transform(first_half, lambda k: k["key"])).alias("key"))
     spans = each.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
     left = materialize(each.join(materialize(spans, "near-open", small=True), "key", "left_semi"), "near-halves", small=True)
     own = materialize(_own(left.select("rep", "root").distinct(), sets), "near-own", small=True)
     slack = (100 - similarity) * F.col("n") - (100 + similarity) * F.col("v")
-    left = left.join(own, "rep", "left").withColumn("v", F.coalesce("v", F.lit(0))).withColumn("slack", slack)
-    left = materialize(left, "near-sides", small=True)
-    top = left.groupBy("key").agg(F.max("slack").alias("top")).where("top >= 0")
-    left = left.join(top, "key").where("slack + top >= 0").drop("top")
-    right = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "v", "root", "own", "others", "slack")])
-    most = _most_common(F.col("n"), F.col("v"), F.col("n2"), F.col("v2"))
+    sides = left.join(own, "rep", "left").withColumn("v", F.coalesce("v", F.lit(0))).withColumn("slack", slack)
+    top = sides.groupBy("key").agg(F.max("slack").alias("top"), F.min("rep").alias("pivot")).where("top >= 0")
+    sides = materialize(sides.join(top, "key").where("slack + top >= 0").drop("top"), "near-sides", small=True)
+    free(left, own)
+    near = _common(sides.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), sets)
+    near = materialize(near.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "common"), "near-pivots", small=True)
+    sides = sides.join(near, ["pivot", "rep"]).drop("pivot")
+    right = sides.select("key", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "u", "v", "root", "slack", "common")])
+    outside = F.least(F.col("n") - F.col("common") - F.col("u"), F.col("n2") - F.col("common2") - F.col("u2"))
+    most = F.least(_most_common(F.col("n"), F.col("v"), F.col("n2"), F.col("v2")), F.least("common", "common2") + F.greatest(outside, F.lit(0)))
     fits = 100 * most >= similarity * (F.col("n") + F.col("n2") - most)
     once = (F.col("slack2") < 0) | (F.col("rep") < F.col("rep2"))
-    table = F.arrays_overlap("others", "others2") & (F.get(F.array_intersect("own", "own2"), F.lit(0)) == F.col("a.key"))
-    a, b = left.where("slack >= 0").alias("a"), right.alias("b")
-    pair = (F.col("root") != F.col("root2")) & (F.col("slack") + F.col("slack2") >= 0) & once & fits & table
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & pair).select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
+    a, b = sides.where("slack >= 0").alias("a"), right.alias("b")
+    pair = (F.col("root") != F.col("root2")) & (F.col("slack") + F.col("slack2") >= 0) & once & fits
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & pair).select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
+    # a shared table needs a shared key of the second collection as well
+    second = F.transform(F.filter("keys", lambda k: k["place"] >= HALF), lambda k: k["key"])
+    one, two = (able.select(F.col("rep").alias(side), second.alias(f"k{side}")) for side in "ab")
+    return pairs.join(one, "a").join(two, "b").where(F.arrays_overlap("ka", "kb")).select("a", "b")
