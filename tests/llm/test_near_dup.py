@@ -155,6 +155,39 @@ def test_slack_of_components_closes_no_similar_pair(spark, monkeypatch):
     assert sorted(tuple(r) for r in near_duplicates(docs).collect()) == expected(rows)
 
 
+def edited_copies(copies):
+    """Near copies of one text: words replaced, left out and put in, so that many miss each other narrowly."""
+    rng = random.Random(copies)
+    rows = []
+    for key in range(copies):
+        text = [f"b{i}" for i in range(80)]
+        for _ in range(rng.randint(1, 4)):
+            at, kind = rng.randrange(len(text)), rng.choice(["replace", "leave out", "put in"])
+            text[at : at + (kind != "put in")] = [] if kind == "leave out" else [f"e{rng.random()}"]
+        rows.append((key, " ".join(text)))
+    return rows
+
+
+def test_pairs_tested_across_components_of_one_group_of_near_copies(spark, monkeypatch):
+    tested = []
+    verified = near_dup._verified
+    monkeypatch.setattr(near_dup, "_verified", lambda pairs, *rest: tested.append(pairs.distinct().count()) or verified(pairs, *rest))
+    rows = edited_copies(1_000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert sorted(tuple(r) for r in near_duplicates(docs).collect()) == expected(rows)
+    assert len(tested) == 2 and tested[1] <= 2 * len(rows)
+
+
+def test_differences_from_pivots_lose_no_link(spark, monkeypatch):
+    """With a star step that finds nothing, pivots and rare differences find all links of the group."""
+    empty = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(near_dup, "_stars", lambda able, similarity: empty)
+    rows = [(2 * k, t) for k, t in edited_copies(300)] + [(2 * k + 1, t.replace("b7", "c7")) for k, t in edited_copies(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in near_duplicates(docs).collect())
+    assert got == expected(rows) and 20 < sum(not r[3] for r in got) < 480
+
+
 def test_dropped_rows_and_clashing_names(spark):
     rows = [(1, "a b c d e f g h", "x", 1), (2, "A b c d e f g h", "y", 2), (3, None, "z", 3), (None, "a b c d e f g h", "n", 4), (4, "long words " * 60_000, "l", 5), (5, "Long words " * 60_000, "l", 6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, gone string, `row` int").withColumn("__gone", docs_map())

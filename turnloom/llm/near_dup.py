@@ -141,16 +141,12 @@ def _most_common(n: Column, u: Column, m: Column, v: Column) -> Column:
     return F.least(n - u, m - v)
 
 
-def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows (a, b, na, nb, common): sizes of both whole shingle sets and of what they share."""
-    left, right = (sets.select(F.col("rep").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) whose whole shingle sets reach the similarity."""
-    return _common(pairs, sets).where(100 * F.col("common") >= similarity * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
+    left, right = (sets.select(F.col("rep").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
+    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    sized = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("common"))
+    return sized.where(100 * F.col("common") >= similarity * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -184,10 +180,11 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
        too many shingles of its own to reach the similarity with any other is linked with none.
     3. Table keys pair the half keys. In every table a class is compared with the smallest one of
        its bucket, on whole sets. Components of these links are found.
-    4. Of tables that still span several components, the pairs across them are compared which
-       their sizes, what they share with one class of their bucket, and the shingles that only one
-       component has allow. So no pair that shares a table goes untested unless it is already
-       connected or its similarity is provably too low.
+    4. Of tables that still span several components, every class is compared with the smallest one
+       of its first half key, and those pairs across components with each other which their
+       sizes, the shingles that only one component has, and their rarest common difference from
+       that one allow. So no pair that shares a table goes untested unless it is already connected
+       or its similarity is provably too low.
 
     Ids should be unique and are whole numbers; repeated rows share a component and are all kept
     or not. Rows without words, null texts among them, are components of their own. A row with a
@@ -207,11 +204,11 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     links = materialize(_verified(_stars(able, similarity), sets, similarity), "near-links", small=True)
     found = components(links)
-    pairs = materialize(_across(able, found, sets, similarity), "near-across", small=True)
-    if pairs.limit(1).count():
-        more = materialize(_verified(pairs, sets, similarity), "near-more", small=True)
-        if more.limit(1).count():
-            found = components(links.unionByName(more))
+    near, pairs = _across(able, found, sets, similarity)
+    pairs = materialize(pairs, "near-across", small=True)
+    more = materialize(near.unionByName(_verified(pairs, sets, similarity)), "near-more", small=True)
+    if more.limit(1).count():
+        found = components(links.unionByName(more))
     roots = found.withColumnRenamed("node", "rep")
 
     members = classes.join(roots, "rep", "left").select("w1", "w2", "n", F.coalesce("root", "rep").alias("component"))
@@ -258,43 +255,75 @@ def _own(classes: DataFrame, sets: DataFrame) -> DataFrame:
     return each.join(one, "s", "left_semi").groupBy("rep").agg(F.count("*").alias("v"))
 
 
-def _across(able: DataFrame, found: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Pairs (a, b) of classes in different components that share a table and may be similar enough.
+def _apart(sides: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """``sides`` with the shingles that only one of a class and its pivot has, ``d``, and its
+    ``score`` (100 + k)|d| - (100 - k)n.
 
-    Tables that have the first half key in common are walked together: two classes share a table
-    if they have such a key and one of the second collection in common. Keys whose classes are all
+    Of classes with the pivot in common, the shingles in which two differ are those in one d alone.
+    So they reach k hundredths exactly if 2(100 + k) times what both d have in common is at least
+    the sum of their scores.
+    """
+    left, right = sets.select(F.col("rep").alias("pivot"), F.col("shingles").alias("sa")), sets.select("rep", F.col("shingles").alias("sb"))
+    both = sides.join(right, "rep").join(left, "pivot")
+    d = F.concat(F.array_except("sb", "sa"), F.array_except("sa", "sb"))
+    out = both.withColumn("d", d).drop("sa", "sb")
+    return out.withColumn("score", (100 + similarity) * F.size("d") - (100 - similarity) * F.col("n"))
+
+
+def _across(able: DataFrame, found: DataFrame, sets: DataFrame, similarity: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) of classes with pivots, and the other pairs (a, b) of classes in different
+    components that share a table and may be similar enough.
+
+    Tables that have the first half key in common are walked together. Keys whose classes are all
     of one component are closed.
 
     What two classes share are at most the shingles that neither's component has to itself, n - v
     and m - w of them; so their similarity reaches k hundredths only if (100 - k)(n + m) >=
     (100 + k)(v + w). The slack of a class is its own share of this. Of any pair one class has no
-    negative slack, so a key all of whose classes have it is closed, and in others only classes
-    without it look for partners. Besides, two classes share no more than the smaller of what each
-    shares with the pivot of their key, and what they have outside of it but for their own ones.
+    negative slack, so a key all of whose classes have it is closed.
+
+    The classes of a key are seen from its smallest one, the pivot, by what they differ in (see
+    ``_apart``). No score is below the pivot's, -(100 - k) times its size; so of two classes whose
+    scores add up to no more than 0 both are similar to the pivot. Any others must have some of
+    their differences in common. Ordered by the number of classes that have them, rare ones first,
+    the first common one must leave enough of them on both sides. What all copies of a text have
+    in common is not compared, nor are edits that one component has to itself.
     """
     first_half = F.filter("keys", lambda k: k["place"] < HALF)
     rooted = able.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    each = rooted.select("rep", "n", "u", "root", F.explode(F.transform(first_half, lambda k: k["key"])).alias("key"))
+    each = rooted.select("rep", "n", "root", F.explode(F.transform(first_half, lambda k: k["key"])).alias("key"))
     spans = each.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
     left = materialize(each.join(materialize(spans, "near-open", small=True), "key", "left_semi"), "near-halves", small=True)
     own = materialize(_own(left.select("rep", "root").distinct(), sets), "near-own", small=True)
     slack = (100 - similarity) * F.col("n") - (100 + similarity) * F.col("v")
     sides = left.join(own, "rep", "left").withColumn("v", F.coalesce("v", F.lit(0))).withColumn("slack", slack)
-    top = sides.groupBy("key").agg(F.max("slack").alias("top"), F.min("rep").alias("pivot")).where("top >= 0")
-    sides = materialize(sides.join(top, "key").where("slack + top >= 0").drop("top"), "near-sides", small=True)
+    top = sides.groupBy("key").agg(F.max("slack").alias("top"), F.min(F.struct("rep", "root", "n")).alias("p")).where("top >= 0")
+    sides = sides.join(top, "key").where("slack + top >= 0 AND rep <> p.rep")
+    sides = sides.select(F.col("p.rep").alias("pivot"), F.col("p.root").alias("home"), F.col("p.n").alias("size"), "rep", "n", "v", "root", "slack").distinct()
+    sides = materialize(_apart(materialize(sides, "near-sides", small=True), sets, similarity), "near-apart", small=True)
     free(left, own)
-    near = _common(sides.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(), sets)
-    near = materialize(near.select(F.col("a").alias("pivot"), F.col("b").alias("rep"), "common"), "near-pivots", small=True)
-    sides = sides.join(near, ["pivot", "rep"]).drop("pivot")
-    right = sides.select("key", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "u", "v", "root", "slack", "common")])
-    outside = F.least(F.col("n") - F.col("common") - F.col("u"), F.col("n2") - F.col("common2") - F.col("u2"))
-    most = F.least(_most_common(F.col("n"), F.col("v"), F.col("n2"), F.col("v2")), F.least("common", "common2") + F.greatest(outside, F.lit(0)))
-    fits = 100 * most >= similarity * (F.col("n") + F.col("n2") - most)
-    once = (F.col("slack2") < 0) | (F.col("rep") < F.col("rep2"))
-    a, b = sides.where("slack >= 0").alias("a"), right.alias("b")
-    pair = (F.col("root") != F.col("root2")) & (F.col("slack") + F.col("slack2") >= 0) & once & fits
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & pair).select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
-    # a shared table needs a shared key of the second collection as well
-    second = F.transform(F.filter("keys", lambda k: k["place"] >= HALF), lambda k: k["key"])
-    one, two = (able.select(F.col("rep").alias(side), second.alias(f"k{side}")) for side in "ab")
-    return pairs.join(one, "a").join(two, "b").where(F.arrays_overlap("ka", "kb")).select("a", "b")
+
+    near = F.col("score") <= (100 - similarity) * F.col("size")
+    links = sides.where(near & (F.col("root") != F.col("home"))).select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    # in what follows, all that are similar to the pivot are of its component
+    sides = sides.withColumn("root", F.when(near, F.col("home")).otherwise(F.col("root")))
+    away = F.when(F.col("root") != F.col("home"), F.col("score"))
+    least = sides.groupBy("pivot").agg(F.min("score").alias("lowest"), F.min(away).alias("away")).where("away IS NOT NULL")
+    sides = sides.join(least, "pivot").withColumn("lowest", F.when(F.col("root") == F.col("home"), F.col("away")).otherwise(F.col("lowest")))
+    reach = 2 * (100 + similarity)
+    sides = sides.where(reach * F.size("d") >= F.col("score") + F.col("lowest")).drop("home", "size", "away")
+    each = sides.withColumn("t", F.explode("d")).drop("d")
+    shared = each.groupBy("pivot", "t").agg(F.count("*").alias("c"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("pivot", "t", "c")
+    what = ["pivot", "rep", "n", "v", "root", "slack", "score", "lowest"]
+    ordered = each.join(shared, ["pivot", "t"]).groupBy(*what).agg(F.sort_array(F.collect_list(F.struct("c", "t"))).alias("d"))
+    # ``most``: twice the most that can be in common from here on, in the unit of the scores
+    marks = ordered.select(*what, F.size("d").alias("z"), F.posexplode("d").alias("i", "t")).withColumn("most", reach * (F.col("z") - F.col("i")))
+    marks = marks.where("most >= score + lowest").select(*what[:-1], F.col("t.t").alias("t"), "most")
+    marks = materialize(marks, "near-marks", small=True)
+    a, b = marks.alias("a"), marks.select("pivot", "t", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "v", "root", "slack", "score", "most")]).alias("b")
+    common = _most_common(F.col("n"), F.col("v"), F.col("n2"), F.col("v2"))
+    fits = 100 * common >= similarity * (F.col("n") + F.col("n2") - common)
+    pair = (F.col("rep") < F.col("rep2")) & (F.col("root") != F.col("root2")) & (F.col("slack") + F.col("slack2") >= 0) & fits
+    pair &= F.least("most", "most2") >= F.col("score") + F.col("score2")
+    same = (F.col("a.pivot") == F.col("b.pivot")) & (F.col("a.t") == F.col("b.t"))
+    return links, a.join(b, same & pair).select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
